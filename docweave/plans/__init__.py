@@ -6,6 +6,7 @@ from docweave.plans.registry import REGISTRY, Query, register
 def load_all() -> dict:
     # Importing the modules registers their queries.
     from docweave.plans import text_queries  # noqa: F401
+    from docweave.plans import request_queries  # noqa: F401
     return REGISTRY
 
 

@@ -133,3 +133,55 @@ parts AS (
   FROM (SELECT doc_id, CAST(1 AS BIGINT) AS part_no, body AS text FROM prepared WHERE length(body) <= {lim}
         UNION ALL SELECT * FROM long_parts)
 )"""
+
+
+# ---------------------------------------------------------------------------
+# Glossary, languages, memory, earlier terms (oracle side of REQ-*).
+
+def glossary_cte(glossary=None) -> str:
+    from docweave.sources.config import TEST_GLOSSARY
+    return f"g AS ({(glossary or TEST_GLOSSARY).values_sql()})"
+
+
+def langs_cte(targets, languages=None) -> str:
+    from docweave.sources.config import TEST_LANGUAGES
+    return f"langs AS ({(languages or TEST_LANGUAGES).values_sql(targets)})"
+
+
+def pair_line(term: str, translation: str) -> str:
+    return f"'''' || {term} || ''' -> ''' || {translation} || '''' || chr(10)"
+
+
+def gblock_cte() -> str:
+    from docweave.operators.glossary import GLOSSARY_HEADING
+    return (f"gb AS (SELECT lang, {q(GLOSSARY_HEADING)} || string_agg({pair_line('term', 'translation')}, '' "
+            f"ORDER BY ord) AS glossary_block FROM g GROUP BY lang)")
+
+
+def memory_cte(src_sql: str, n: int = 10) -> str:
+    """mem → rec2 (recent rows with idx, complete) → ib (improvements block)."""
+    from docweave.operators.memory import IMPROVEMENTS_HEADING
+    item = ("CAST(idx AS VARCHAR) || '. Issue: ' || reason || chr(10) || '   Original: ' || original || chr(10)"
+            " || '   Incorrect translation: ' || translated || chr(10) || '   Avoid this mistake.' || chr(10) || chr(10)")
+    return f"""mem AS ({src_sql}),
+rec AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY seq DESC) AS rn,
+               least(count(*) OVER (PARTITION BY lang), {n}) AS m FROM mem),
+rec2 AS (SELECT lang, seq, original, translated, reason, CAST(m - rn + 1 AS BIGINT) AS idx,
+                coalesce(original, '') <> '' AND coalesce(translated, '') <> '' AND coalesce(reason, '') <> '' AS complete
+         FROM rec WHERE rn <= {n}),
+ib AS (SELECT lang, {q(IMPROVEMENTS_HEADING)} || coalesce(string_agg(CASE WHEN complete THEN {item} END, '' ORDER BY idx), '')
+              AS improvements_block FROM rec2 GROUP BY lang)"""
+
+
+def earlier_cte(parts: str = "parts") -> str:
+    """firsts(doc_id, term, ord, first_part) and fl (with lang, translation)."""
+    return f"""gt AS (SELECT term, min(ord) AS ord FROM g GROUP BY term),
+th AS (SELECT p.doc_id, p.part_no, gt.term, gt.ord FROM {parts} p JOIN gt ON contains(p.text, gt.term)),
+firsts AS (SELECT doc_id, term, ord, min(part_no) AS first_part FROM th GROUP BY doc_id, term, ord),
+fl AS (SELECT f.doc_id, f.term, f.ord, f.first_part, g.lang, g.translation FROM firsts f JOIN g ON g.term = f.term),
+eb AS (SELECT p.doc_id, p.part_no, l.lang,
+              string_agg(fl.term, ',' ORDER BY fl.first_part, fl.ord) AS earlier_terms,
+              string_agg({pair_line('fl.term', 'fl.translation')}, '' ORDER BY fl.first_part, fl.ord) AS earlier_lines
+       FROM {parts} p CROSS JOIN langs l
+       LEFT JOIN fl ON fl.doc_id = p.doc_id AND fl.first_part < p.part_no AND fl.lang = l.lang
+       GROUP BY p.doc_id, p.part_no, l.lang)"""

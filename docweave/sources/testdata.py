@@ -53,3 +53,62 @@ REL_PATH_SQL = ("source||'/'||CAST(doc_id AS VARCHAR)||"
 MD_DOCS_CTE = f"""md_docs AS (
   SELECT doc_id, source, lang, {REL_PATH_SQL} AS rel_path, {MD_SQL} AS md FROM documents
 )"""
+
+
+# ---------------------------------------------------------------------------
+# Issues derived from documents (issue memory and validation inputs).
+# Reason templates by doc_id % 4 (one Russian glossary reason,
+# two near-identical English ones, one blank).
+REASONS = ("термин переведён не по глоссарию",
+           "the meaning of the sentence is lost in translation",
+           "meaning of the sentence is lost in the translation",
+           "")
+
+TARGET_BY_MOD3 = ("en", "es", "zh")
+
+ISSUES_EXPR = {
+    "lang": "element_at(array('en','es','zh'), CAST(doc_id % 3 + 1 AS INT))",
+    "file_path": "concat(source, '/', CAST(doc_id AS STRING), '.md')",
+    "seq": "CAST(doc_id AS BIGINT)",
+    "original": "substring(text, 1, 60)",
+    "translated": "substring(text, 61, 60)",
+    "reason": "element_at(array({}), CAST(doc_id % 4 + 1 AS INT))".format(
+        ", ".join("'" + r + "'" for r in REASONS)),
+}
+
+ISSUES_SQL = """SELECT (CASE doc_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang,
+       source || '/' || CAST(doc_id AS VARCHAR) || '.md' AS file_path,
+       CAST(doc_id AS BIGINT) AS seq, substr(text, 1, 60) AS original, substr(text, 61, 60) AS translated,
+       ([{}])[doc_id % 4 + 1] AS reason
+FROM documents""".format(", ".join("'" + r + "'" for r in REASONS))
+
+
+def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(lang, file_path, seq, original, translated, reason)`` one per document."""
+    return documents(spark, sf_dir).select(*[F.expr(v).alias(k) for k, v in ISSUES_EXPR.items()])
+
+
+# ---------------------------------------------------------------------------
+# Original / translated pairs from conversations: a user turn is the original
+# file ``conv/<conv_id>/<turn>.md``; the assistant turn right after it is its
+# translation (language by conv_id % 3).
+def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "conversations")
+    return c.where(F.col("role") == "user").select(
+        F.format_string("conv/%d/%d.md", "conv_id", "turn").alias("rel_path"),
+        "conv_id", "turn", F.col("text").alias("original"))
+
+
+def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "conversations")
+    return c.where(F.col("role") == "assistant").select(
+        F.format_string("conv/%d/%d.md", "conv_id", F.col("turn") - 1).alias("rel_path"),
+        F.expr("element_at(array('en','es','zh'), CAST(conv_id % 3 + 1 AS INT))").alias("lang"),
+        F.col("text").alias("translated"))
+
+
+ORIGINALS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn) AS rel_path, conv_id, turn, text AS original "
+                 "FROM conversations WHERE role = 'user'")
+TRANSLATIONS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn - 1) AS rel_path, "
+                    "(CASE conv_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang, "
+                    "text AS translated FROM conversations WHERE role = 'assistant'")
