@@ -13,27 +13,26 @@ from docweave.sources.config import LANG_DIRS
 BINARY_PROBE_BYTES = 8192
 
 
+# Hex patterns of the last 1, 2 or 3 bytes of the probe when they begin a
+# multi-byte sequence that the probe boundary cut (not yet an error).
+CUT_1 = r"(C[2-9A-F]|D[0-9A-F]|E[0-9A-F]|F[0-4])$"
+CUT_2 = r"(E[0-9A-F]|F[0-4])[89AB][0-9A-F]$"
+CUT_3 = r"F[0-4][89AB][0-9A-F][89AB][0-9A-F]$"
+
+
 def is_binary(content: Column) -> Column:
     """FLT-1: strict UTF-8 decoding of the first 8192 bytes fails.
 
-    When the file is longer than the probe, an incomplete multi-byte sequence
-    cut by the probe boundary (at most 3 trailing bytes) is not an error.
+    A file no longer than the probe must decode completely. For a longer one
+    an unfinished multi-byte sequence cut by the probe boundary (at most 3
+    trailing bytes) is dropped before the test.
     """
-    probe = F.substring(content, 1, BINARY_PROBE_BYTES)
-    # Drop up to 3 trailing bytes that start/continue an unfinished sequence.
-    trimmed = F.when(
-        F.length(content) > BINARY_PROBE_BYTES,
-        F.expr(f"""CASE
-          WHEN is_valid_utf8(substring({_sql(content)}, 1, {BINARY_PROBE_BYTES})) THEN substring({_sql(content)}, 1, {BINARY_PROBE_BYTES})
-          WHEN is_valid_utf8(substring({_sql(content)}, 1, {BINARY_PROBE_BYTES - 1})) THEN substring({_sql(content)}, 1, {BINARY_PROBE_BYTES - 1})
-          WHEN is_valid_utf8(substring({_sql(content)}, 1, {BINARY_PROBE_BYTES - 2})) THEN substring({_sql(content)}, 1, {BINARY_PROBE_BYTES - 2})
-          ELSE substring({_sql(content)}, 1, {BINARY_PROBE_BYTES - 3}) END""")).otherwise(probe)
-    return ~F.is_valid_utf8(trimmed)
-
-
-def _sql(c: Column) -> str:
-    # Column → SQL text for use inside expr(); only plain column refs are passed here.
-    return str(c._jc.toString())  # noqa: SLF001
+    n = BINARY_PROBE_BYTES
+    tail = F.hex(F.substring(content, n - 2, 3))
+    drop = (F.when(tail.rlike(CUT_1), 1).when(tail.rlike(CUT_2), 2).when(tail.rlike(CUT_3), 3)
+            .otherwise(0))
+    head = F.when(F.length(content) > n, content.substr(F.lit(1), F.lit(n) - drop)).otherwise(content)
+    return ~F.is_valid_utf8(head)
 
 
 def route(path: Column, content: Column, case_sensitive: bool = True) -> Column:

@@ -7,6 +7,7 @@ def load_all() -> dict:
     # Importing the modules registers their queries.
     from docweave.plans import text_queries  # noqa: F401
     from docweave.plans import request_queries  # noqa: F401
+    from docweave.plans import reply_queries  # noqa: F401
     return REGISTRY
 
 

@@ -185,3 +185,12 @@ eb AS (SELECT p.doc_id, p.part_no, l.lang,
        FROM {parts} p CROSS JOIN langs l
        LEFT JOIN fl ON fl.doc_id = p.doc_id AND fl.first_part < p.part_no AND fl.lang = l.lang
        GROUP BY p.doc_id, p.part_no, l.lang)"""
+
+
+def clean_reply_sql(x: str) -> str:
+    """RSP-1 in DuckDB: prefix, opening fence line, closing fence."""
+    from docweave.functions.text import REPLY_PREFIXES
+    pref = " OR ".join(f"starts_with(lower({x}), {q(p)})" for p in REPLY_PREFIXES)
+    v = f"CASE WHEN {pref} THEN {strip(f'substr({x}, instr({x}, {q(":")}) + 1)')} ELSE {x} END"
+    v = f"regexp_replace({v}, '\\A```[^\\n]*\\n', '')"
+    return f"regexp_replace({v}, '\\n```(\\n?)\\z', '\\1')"

@@ -112,3 +112,100 @@ ORIGINALS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn) AS rel_path, con
 TRANSLATIONS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn - 1) AS rel_path, "
                     "(CASE conv_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang, "
                     "text AS translated FROM conversations WHERE role = 'assistant'")
+
+
+# ---------------------------------------------------------------------------
+# Simulated model replies for body parts (by doc_id % 4: prefixed, fenced,
+# trailing fence, plain); no reply for doc_id % 11 = 0, an error reply for
+# doc_id % 13 = 0.
+REPLY_SPARK = ("CASE doc_id % 4 WHEN 0 THEN concat('Translation: ', text) "
+               "WHEN 1 THEN concat('```markdown\\n', text, '\\n```') "
+               "WHEN 2 THEN concat(text, '\\n```\\n') ELSE text END")
+REPLY_SQL = ("CASE doc_id % 4 WHEN 0 THEN 'Translation: ' || text "
+             "WHEN 1 THEN '```markdown' || chr(10) || text || chr(10) || '```' "
+             "WHEN 2 THEN text || chr(10) || '```' || chr(10) ELSE text END")
+
+
+def responses_for(parts_fanned: DataFrame) -> DataFrame:
+    """Replies for ``(doc_id, rel_path, lang, part_no, text)`` rows."""
+    rid = F.concat_ws(":", F.lit("body"), "rel_path", "lang", F.col("part_no").cast("string"))
+    err = (F.col("doc_id") % 13 == 0)
+    return (parts_fanned.where(F.col("doc_id") % 11 != 0)
+            .select(rid.alias("request_id"),
+                    F.when(err, F.lit(None).cast("string")).otherwise(F.expr(REPLY_SPARK)).alias("content"),
+                    (F.length("text") / 4 + 50).cast("int").alias("prompt_tokens"),
+                    (F.length("text") / 4).cast("int").alias("completion_tokens"),
+                    F.when(err, F.lit("timeout")).alias("error")))
+
+
+# ---------------------------------------------------------------------------
+# Simulated validation replies per conversation pair, by (conv_id + turn) % 9.
+VREASONS = ("термин переведён не по глоссарию", "glossary term is wrong", "смысл искажён")
+
+VREPLY_SPARK = """CASE (conv_id + turn) % 9
+  WHEN 0 THEN 'not json'
+  WHEN 1 THEN '[]'
+  WHEN 2 THEN '{}'
+  WHEN 3 THEN '{"issues": null}'
+  WHEN 4 THEN concat('{"issues": [', to_json(named_struct('original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)), ', {"original": null, "translated": "abc", "reason": "x"}]}')
+  WHEN 5 THEN concat('{"issues": [', to_json(named_struct('original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)), ', 5]}')
+  WHEN 6 THEN concat('{"issues": [', to_json(named_struct('translated', substring(translated, 1, 40), 'reason', vr)), ']}')
+  ELSE concat('{"issues": [', to_json(named_struct('file_path', 'x.md', 'original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)),
+              ', ', to_json(named_struct('original', substring(original, 41, 2), 'translated', substring(translated, 41, 40), 'reason', 'short original')),
+              ', ', to_json(named_struct('original', substring(original, 81, 30), 'translated', substring(translated, 81, 30), 'reason', vr)), ']}')
+END"""
+
+VREPLY_SQL = """CASE (conv_id + turn) % 9
+  WHEN 0 THEN 'not json'
+  WHEN 1 THEN '[]'
+  WHEN 2 THEN '{}'
+  WHEN 3 THEN '{"issues": null}'
+  WHEN 4 THEN '{"issues": [' || to_json(struct_pack(original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr)) || ', {"original": null, "translated": "abc", "reason": "x"}]}'
+  WHEN 5 THEN '{"issues": [' || to_json(struct_pack(original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr)) || ', 5]}'
+  WHEN 6 THEN '{"issues": [' || to_json(struct_pack(translated := substr(translated, 1, 40), reason := vr)) || ']}'
+  ELSE '{"issues": [' || to_json(struct_pack(file_path := 'x.md', original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr))
+       || ', ' || to_json(struct_pack(original := substr(original, 41, 2), translated := substr(translated, 41, 40), reason := 'short original'))
+       || ', ' || to_json(struct_pack(original := substr(original, 81, 30), translated := substr(translated, 81, 30), reason := vr)) || ']}'
+END"""
+
+VR_SPARK = "element_at(array({}), CAST(conv_id % 3 + 1 AS INT))".format(", ".join("'" + r + "'" for r in VREASONS))
+VR_SQL = "([{}])[conv_id % 3 + 1]".format(", ".join("'" + r + "'" for r in VREASONS))
+
+
+def validation_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(rel_path, lang, file_path, content, prompt_tokens, completion_tokens)``
+    one per validated pair."""
+    o, t = originals(spark, sf_dir), translations(spark, sf_dir)
+    p = t.join(o, "rel_path").withColumn("vr", F.expr(VR_SPARK))
+    return p.select("rel_path", "lang",
+                    F.concat_ws("/", F.lit("output"), "lang", "rel_path").alias("file_path"),
+                    F.expr(VREPLY_SPARK).alias("content"),
+                    (F.length("original") / 4).cast("int").alias("prompt_tokens"),
+                    (F.length("translated") / 4 + 7).cast("int").alias("completion_tokens"))
+
+
+VALIDATION_REPLIES_SQL = f"""SELECT rel_path, lang, 'output/' || lang || '/' || rel_path AS file_path,
+       {VREPLY_SQL} AS content,
+       CAST(floor(length(original) / 4) AS INT) AS prompt_tokens,
+       CAST(floor(length(translated) / 4 + 7) AS INT) AS completion_tokens
+FROM (SELECT t.*, o.conv_id, o.turn, o.original, {VR_SQL} AS vr
+      FROM ({TRANSLATIONS_SQL}) t JOIN ({ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)"""
+
+
+# ---------------------------------------------------------------------------
+# File rows with bytes: text files are the UTF-8 of ``md``; .png files get a
+# PNG signature in front; doc_id % 9 = 0 appends an invalid byte (binary when
+# within the 8192-byte probe, an undecodable text file after it).
+def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = md_docs(spark, sf_dir)
+    body = F.encode("md", "UTF-8")
+    content = (F.when(F.col("doc_id") % 4 == 3, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), body))
+               .when(F.col("doc_id") % 9 == 0, F.concat(body, F.unhex(F.lit("FF"))))
+               .otherwise(body))
+    return md.select("doc_id", "rel_path", content.alias("content"))
+
+
+FILE_ROWS_SQL = f"""SELECT doc_id, rel_path,
+  CASE WHEN doc_id % 4 = 3 THEN unhex('89504E470D0A1A0A') || encode(md)
+       WHEN doc_id % 9 = 0 THEN encode(md) || unhex('FF') ELSE encode(md) END AS content
+FROM md_docs"""
