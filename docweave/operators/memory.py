@@ -4,10 +4,11 @@ block (AGG-8); completeness filter (FLT-5) and append with sequence numbers
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.text import strip
+from docweave.operators.topk import top_k_per_group
 
 # Improvements prompt texts.
 IMPROVEMENTS_HEADING = "\n\nBased on previous translation issues, pay special attention to these cases:\n"
@@ -21,14 +22,14 @@ def _s(c: str) -> Column:
 def recent_improvements(memory: DataFrame, n: int = RECENT_N) -> DataFrame:
     """WIN-5: the latest ``n`` rows per language by ``seq``, numbered 1..n in
     ascending order (``idx``); ``complete`` marks rows whose three fields are
-    non-empty (numbers are assigned before that test, so they may skip)."""
-    w_desc = Window.partitionBy("lang").orderBy(F.col("seq").desc())
-    w_all = Window.partitionBy("lang")
-    recent = (memory
-              .withColumn("_rn", F.row_number().over(w_desc))
-              .withColumn("_m", F.least(F.count(F.lit(1)).over(w_all), F.lit(n)))
-              .where(F.col("_rn") <= n))
-    return (recent
+    non-empty (numbers are assigned before that test, so they may skip).
+
+    A language is a hot group (a third of all rows), so the latest rows come
+    from a salted two-stage top-k and the row count from a partial aggregate.
+    """
+    counts = memory.groupBy("lang").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_m"))
+    recent = top_k_per_group(memory, ["lang"], [F.col("seq").desc()], n, ["seq"], "_rn")
+    return (recent.join(F.broadcast(counts), "lang")
             .withColumn("idx", (F.col("_m") - F.col("_rn") + 1).cast("bigint"))
             .withColumn("complete", (_s("original") != "") & (_s("translated") != "") & (_s("reason") != ""))
             .drop("_rn", "_m"))
@@ -59,10 +60,20 @@ def complete_for_memory(issues: DataFrame) -> DataFrame:
 
 
 def append_memory(existing: DataFrame, new_rows: DataFrame, order_cols: list[str]) -> DataFrame:
-    """SNK-4: new rows get ``seq = max(existing seq of the language) + rank`` in
-    arrival order (``order_cols``); returns only the rows to append."""
+    """SNK-4: new rows get ``seq = max(existing seq of the language) + 1, + 2, …``
+    in arrival order (``order_cols``, which must be unique per language).
+
+    The rank comes from a global sort plus ``zipWithIndex`` (one counting
+    job, then a distributed pass), so a hot language is never ranked in one
+    task; the per-language offsets are tiny aggregates (one row per language).
+    """
+    spark = new_rows.sparkSession
+    ordered = new_rows.select("lang", "original", "translated", "reason", *[
+        c for c in order_cols if c not in ("lang", "original", "translated", "reason")]).orderBy("lang", *order_cols)
+    schema = ordered.schema.add("_gidx", "long")
+    indexed = spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])), schema)
+    first = indexed.groupBy("lang").agg(F.min("_gidx").alias("_first"))
     mx = existing.groupBy("lang").agg(F.max("seq").alias("_mx"))
-    w = Window.partitionBy("lang").orderBy(*order_cols)
-    return (new_rows.join(F.broadcast(mx), "lang", "left")
-            .withColumn("seq", (F.coalesce("_mx", F.lit(-1)) + F.row_number().over(w)).cast("bigint"))
+    return (indexed.join(F.broadcast(first), "lang").join(F.broadcast(mx), "lang", "left")
+            .withColumn("seq", (F.coalesce("_mx", F.lit(-1)) + 1 + F.col("_gidx") - F.col("_first")).cast("bigint"))
             .select("lang", "seq", "original", "translated", "reason"))

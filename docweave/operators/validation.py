@@ -4,10 +4,11 @@ pair (QA-1 structure parity, QA-2 glossary consistency)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators.glossary import false_positive_match
+from docweave.operators.topk import top_k_per_group
 from docweave.sources.config import Glossary
 
 # Reason markers of a glossary false positive (Russian only).
@@ -57,35 +58,19 @@ def filter_issues(issues: DataFrame, glossary: Glossary, lang: str = "lang",
 
 def report(files: DataFrame, kept: DataFrame) -> DataFrame:
     """AGG-5: per language the number of files with a result (zero-issue
-    files included), the number of issues, and a digest of the issues in
-    report order ``(file_path, pos)``. ``files`` has one row per validated
-    file with ``lang``; ``kept`` the kept issues."""
+    files included), the number of kept issues and order-free checksums of
+    their content. Every aggregate is partial (map-side combine), so a
+    language holding a third of all issues is never gathered in one task;
+    the ordered issue list itself is written by :func:`docweave.sinks.files.write_report`."""
     per_lang_files = files.groupBy("lang").agg(F.count("*").alias("total_files"))
-    line = F.concat_ws("\u001f", "file_path", "original", "translated", "reason")
     per_lang_issues = kept.groupBy("lang").agg(
         F.count("*").alias("total_issues"),
-        F.sha2(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("file_path", "pos", line.alias("l")))),
-            lambda s: s["l"]), "\u001e"), 256).alias("issues_digest"))
+        F.sum(F.length("original") + F.length("translated") + F.length("reason")).cast("bigint").alias("issue_chars"),
+        F.min("file_path").alias("first_file"), F.max("file_path").alias("last_file"))
     return (per_lang_files.join(per_lang_issues, "lang", "left")
             .select("lang", "total_files", F.coalesce("total_issues", F.lit(0)).cast("bigint").alias("total_issues"),
-                    "issues_digest"))
-
-
-def report_documents(files: DataFrame, kept: DataFrame) -> DataFrame:
-    """SNK-3 shape: ``language, total_files, total_issues, issues`` with the
-    issues as an ordered array of structs (write with ``write.json``)."""
-    per_lang_files = files.groupBy("lang").agg(F.count("*").alias("total_files"))
-    per_lang_issues = kept.groupBy("lang").agg(
-        F.count("*").alias("total_issues"),
-        F.transform(F.array_sort(F.collect_list(F.struct("file_path", "pos", "original", "translated", "reason"))),
-                    lambda s: F.struct(s["file_path"].alias("file_path"), s["original"].alias("original"),
-                                       s["translated"].alias("translated"), s["reason"].alias("reason")))
-        .alias("issues"))
-    return (per_lang_files.join(per_lang_issues, "lang", "left")
-            .select(F.col("lang").alias("language"), "total_files",
-                    F.coalesce("total_issues", F.lit(0)).cast("bigint").alias("total_issues"),
-                    F.coalesce("issues", F.array().cast(per_lang_issues.schema["issues"].dataType)).alias("issues")))
+                    F.coalesce("issue_chars", F.lit(0)).cast("bigint").alias("issue_chars"),
+                    "first_file", "last_file"))
 
 
 def token_stats(files: DataFrame) -> DataFrame:
@@ -98,9 +83,9 @@ def token_stats(files: DataFrame) -> DataFrame:
 
 
 def samples(kept: DataFrame, k: int = 5) -> DataFrame:
-    """ORD-3: the first ``k`` issues of each language's report."""
-    w = Window.partitionBy("lang").orderBy("file_path", "pos")
-    return kept.withColumn("sample_no", F.row_number().over(w).cast("bigint")).where(F.col("sample_no") <= k)
+    """ORD-3: the first ``k`` issues of each language's report (salted top-k)."""
+    return top_k_per_group(kept, ["lang"], [F.col("file_path"), F.col("pos")], k,
+                           ["file_path", "pos"], "sample_no")
 
 
 # Structural markers counted on both sides of a pair (QA-1).
@@ -121,8 +106,9 @@ def structure_parity(pairs: DataFrame, original: str = "original", translated: s
     cols = []
     mism = F.lit(False)
     for name, pat in PARITY_PATTERNS.items():
-        a = F.regexp_count(F.col(original), F.lit(pat)).cast("bigint")
-        b = F.regexp_count(F.col(translated), F.lit(pat)).cast("bigint")
+        jpat = "(?d)" + pat  # Java: only \n ends a line, as in RE2 and Python
+        a = F.regexp_count(F.col(original), F.lit(jpat)).cast("bigint")
+        b = F.regexp_count(F.col(translated), F.lit(jpat)).cast("bigint")
         cols += [a.alias(f"src_{name}"), b.alias(f"out_{name}")]
         mism = mism | (a != b)
     return pairs.select(*[c for c in pairs.columns if c not in (original, translated)], *cols,

@@ -198,22 +198,20 @@ def q_run_summary(spark, sf_dir):
                  F.sum(F.coalesce("any_fb", F.lit(0))).cast("bigint").alias("n_with_fallback")))
 
 
-@register("failed_files", "AGG-3", sql=f"""WITH {ROUTED_CTE}
-SELECT l.lang, count(*) AS attempts,
-       CAST(sum(CASE WHEN r.action_incremental = 'failed' THEN 1 ELSE 0 END) AS BIGINT) AS n_failed,
-       coalesce(string_agg(CASE WHEN r.action_incremental = 'failed' THEN r.rel_path END, ',' ORDER BY r.rel_path), '')
-         AS failed_paths
-FROM routed r CROSS JOIN (SELECT unnest({_TLIST}) AS lang) l GROUP BY l.lang
+@register("failed_files", "AGG-3", sql=f"""WITH {ROUTED_CTE},
+att AS (SELECT l.lang, r.rel_path, r.action_incremental, count(*) OVER (PARTITION BY l.lang) AS attempts
+        FROM routed r CROSS JOIN (SELECT unnest({_TLIST}) AS lang) l)
+SELECT lang, rel_path, attempts FROM att WHERE action_incremental = 'failed'
 """)
 def q_failed_files(spark, sf_dir):
+    """Failed paths per language as rows (a list per language would gather a
+    whole language in one task) with the attempts of that language
+    (files x 1, skipped ones included)."""
     r = routed(spark, sf_dir).select("rel_path", "action_incremental")
     fan = r.withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
-    failed = F.col("action_incremental") == "failed"
-    return (fan.groupBy("lang")
-            .agg(F.count("*").alias("attempts"),
-                 F.sum(F.when(failed, 1).otherwise(0)).cast("bigint").alias("n_failed"),
-                 F.array_join(F.array_sort(F.collect_list(F.when(failed, F.col("rel_path")))), ",")
-                 .alias("failed_paths")))
+    attempts = fan.groupBy("lang").agg(F.count("*").alias("attempts"))
+    failed = fan.where(F.col("action_incremental") == "failed").select("lang", "rel_path")
+    return failed.join(F.broadcast(attempts), "lang").select("lang", "rel_path", "attempts")
 
 
 # ---------------------------------------------------------------------------
@@ -287,10 +285,11 @@ def q_issue_false_positives(spark, sf_dir):
 @register("validation_report", "AGG-5,SNK-3", sql=f"""WITH {_VAL_SQL},
 files AS (SELECT lang, count(*) AS total_files FROM rep GROUP BY lang),
 iss AS (SELECT lang, count(*) AS total_issues,
-               sha256(string_agg(concat_ws(chr(31), file_path, original, translated, reason), chr(30) ORDER BY file_path, pos))
-                 AS issues_digest
+               CAST(sum(length(original) + length(translated) + length(reason)) AS BIGINT) AS issue_chars,
+               min(file_path) AS first_file, max(file_path) AS last_file
         FROM kept GROUP BY lang)
-SELECT f.lang, f.total_files, CAST(coalesce(i.total_issues, 0) AS BIGINT) AS total_issues, i.issues_digest
+SELECT f.lang, f.total_files, CAST(coalesce(i.total_issues, 0) AS BIGINT) AS total_issues,
+       CAST(coalesce(i.issue_chars, 0) AS BIGINT) AS issue_chars, i.first_file, i.last_file
 FROM files f LEFT JOIN iss i ON i.lang = f.lang
 """)
 def q_validation_report(spark, sf_dir):
