@@ -8,6 +8,7 @@ def load_all() -> dict:
     from docweave.plans import text_queries  # noqa: F401
     from docweave.plans import request_queries  # noqa: F401
     from docweave.plans import reply_queries  # noqa: F401
+    from docweave.plans import dedup_queries  # noqa: F401
     return REGISTRY
 
 
