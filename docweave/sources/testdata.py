@@ -209,3 +209,66 @@ FILE_ROWS_SQL = f"""SELECT doc_id, rel_path,
   CASE WHEN doc_id % 4 = 3 THEN unhex('89504E470D0A1A0A') || encode(md)
        WHEN doc_id % 9 = 0 THEN encode(md) || unhex('FF') ELSE encode(md) END AS content
 FROM md_docs"""
+
+
+# ---------------------------------------------------------------------------
+# Two corpus snapshots (manifests) for change detection: the old one lacks
+# doc_id % 10 = 0, the new one lacks doc_id % 10 = 1; the new one changes the
+# text where doc_id % 7 = 0 and moves the file where doc_id % 13 = 0. Paths of
+# doc_id % 17 = 0 contain blanks (quoted in change lines).
+_MPATH = ("CASE WHEN doc_id % 17 = 0 THEN concat(source, '/my doc ', CAST(doc_id AS STRING), '.md') "
+          "ELSE concat(source, '/', CAST(doc_id AS STRING), '.md') END")
+_MPATH_SQL = ("CASE WHEN doc_id % 17 = 0 THEN source || '/my doc ' || CAST(doc_id AS VARCHAR) || '.md' "
+              "ELSE source || '/' || CAST(doc_id AS VARCHAR) || '.md' END")
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = documents(spark, sf_dir)
+    old = d.where(F.col("doc_id") % 10 != 0).select(F.expr(_MPATH).alias("path"),
+                                                    F.sha2("text", 256).alias("sha256"))
+    new_text = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" (rev)"))).otherwise(F.col("text"))
+    new_path = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("moved/"), F.expr(_MPATH))).otherwise(F.expr(_MPATH))
+    new = d.where(F.col("doc_id") % 10 != 1).select(new_path.alias("path"), F.sha2(new_text, 256).alias("sha256"))
+    return old, new
+
+
+OLD_MANIFEST_SQL = f"SELECT {_MPATH_SQL} AS path, sha256(text) AS sha256 FROM documents WHERE doc_id % 10 <> 0"
+NEW_MANIFEST_SQL = (f"SELECT CASE WHEN doc_id % 13 = 0 THEN 'moved/' || ({_MPATH_SQL}) ELSE {_MPATH_SQL} END AS path, "
+                    f"sha256(CASE WHEN doc_id % 7 = 0 THEN text || ' (rev)' ELSE text END) AS sha256 "
+                    f"FROM documents WHERE doc_id % 10 <> 1")
+
+# Change lines rendered from a diff, as ``git status --porcelain`` prints them
+# at the root of repository ``book`` whose documents live under ``docs/``;
+# a third of the lines belong to another tree (``i18n/``) or carry no repo
+# prefix.
+REPO_NAME = "book"
+TARGET_SUBDIR = "docs"
+_RP = ("(CASE length(path) % 3 WHEN 0 THEN 'book/docs/' WHEN 1 THEN 'docs/' ELSE 'book/i18n/' END)")
+
+
+def _q(expr: str) -> str:
+    return f"CASE WHEN instr({expr}, ' ') > 0 THEN concat('\"', {expr}, '\"') ELSE {expr} END"
+
+
+CHANGE_LINE_SPARK = f"""CASE status
+  WHEN 'added' THEN concat('?? ', {_q(f"concat({_RP}, path)")})
+  WHEN 'modified' THEN concat(' M ', {_q(f"concat({_RP}, path)")})
+  WHEN 'deleted' THEN concat(' D ', {_q(f"concat({_RP}, path)")})
+  WHEN 'renamed_to' THEN concat(' D ', {_q(f"concat({_RP}, path)")})
+  WHEN 'renamed_from' THEN concat('R  ', {_q(f"concat({_RP.replace('path', 'other_path')}, other_path)")}, ' -> ',
+                                  {_q(f"concat({_RP}, path)")})
+END"""
+
+
+def _qs(expr: str) -> str:
+    return f"CASE WHEN instr({expr}, ' ') > 0 THEN '\"' || {expr} || '\"' ELSE {expr} END"
+
+
+CHANGE_LINE_SQL = f"""CASE status
+  WHEN 'added' THEN '?? ' || {_qs(f"({_RP} || path)")}
+  WHEN 'modified' THEN ' M ' || {_qs(f"({_RP} || path)")}
+  WHEN 'deleted' THEN ' D ' || {_qs(f"({_RP} || path)")}
+  WHEN 'renamed_to' THEN ' D ' || {_qs(f"({_RP} || path)")}
+  WHEN 'renamed_from' THEN 'R  ' || {_qs(f"({_RP.replace('path', 'other_path')} || other_path)")} || ' -> '
+                                 || {_qs(f"({_RP} || path)")}
+END"""
