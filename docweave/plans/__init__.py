@@ -10,6 +10,7 @@ def load_all() -> dict:
     from docweave.plans import reply_queries  # noqa: F401
     from docweave.plans import dedup_queries  # noqa: F401
     from docweave.plans import change_queries  # noqa: F401
+    from docweave.plans import extra_queries  # noqa: F401
     return REGISTRY
 
 
