@@ -31,8 +31,18 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    A Column referenced inside a higher-order function's lambda is inlined
+    and re-evaluated for every element; binding it first avoids that.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c) -> Column:
-    """Python ``str.strip()`` (Unicode whitespace both ends)."""
+    """Python ``str.strip()`` (Unicode whitespace both ends). One regex call
+    that references its input once (so a nested input is not re-evaluated)."""
     return F.regexp_replace(col_(c), STRIP_RE, "")
 
 

@@ -21,11 +21,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.functions.text import WS, is_blank, strip
+from docweave.functions.text import WS, is_blank
 
 HEADER_RE = rf"(?s)^#{{1,6}}{WS}."
 HEADER_LEVEL_RE = rf"^(#{{1,6}}){WS}"
 LIST_RE = rf"^{WS}*[-*+]{WS}"
+# Anchored prefix tests instead of strip-then-startswith: one short regex
+# attempt at the line start, no scan for trailing blanks.
+FENCE_RE = rf"^{WS}*```"
+TABLE_RE = rf"^{WS}*\|"
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -56,15 +60,14 @@ def classify_lines(lines: DataFrame, keys) -> DataFrame:
     k = _keys(keys)
     w_before = (Window.partitionBy(*k).orderBy("line_no")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    stripped = strip("line")
-    is_fence = stripped.startswith("```")
+    is_fence = F.col("line").rlike(FENCE_RE)
     fences_before = F.coalesce(F.sum(is_fence.cast("int")).over(w_before), F.lit(0))
     out = (lines
            .withColumn("is_fence", is_fence)
            .withColumn("in_code", F.col("is_fence") | (fences_before % 2 == 1)))
-    header = (~F.col("in_code")) & F.col("line").rlike(HEADER_RE)
+    header = (~F.col("in_code")) & F.col("line").startswith("#") & F.col("line").rlike(HEADER_RE)
     return (out
-            .withColumn("is_table", ~F.col("in_code") & stripped.startswith("|")
+            .withColumn("is_table", ~F.col("in_code") & F.col("line").rlike(TABLE_RE)
                         & F.col("line").substr(F.lit(2), F.lit(1 << 30)).contains("|"))
             .withColumn("is_list", ~F.col("in_code") & F.col("line").rlike(LIST_RE))
             .withColumn("is_blank", is_blank("line"))

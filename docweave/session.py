@@ -78,3 +78,19 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     spark.sparkContext.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table under the shared
+    checkpoint folder and reading it back.
+
+    One computation (``DataFrame.checkpoint`` computes an unpersisted plan
+    twice), columnar and compressed, and readable by every executor, so a lost
+    executor never forces a recompute of what came before.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
