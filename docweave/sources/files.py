@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import os
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.functions.text import WS
+
 LISTING_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
     T.StructField("rel_path", T.StringType(), False),
@@ -87,10 +88,9 @@ def read_issue_memory(spark: SparkSession, folder: str) -> DataFrame:
     raw = (spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/prompt_improvements_*.json")
            .select(F.col("value"), F.col("_metadata.file_name").alias("name")))
     lang = F.regexp_extract("name", r"^prompt_improvements_(.+)\.json$", 1)
-    arr = F.from_json(F.col("value"), MEMORY_ITEM)
+    # from_json would wrap a top-level object into a one-element array; only a
+    # JSON list counts as memory.
+    arr = F.when(F.col("value").rlike(rf"\A{WS}*\["), F.from_json(F.col("value"), MEMORY_ITEM))
     return (raw.select(lang.alias("lang"), F.posexplode(arr).alias("seq", "r"))
             .select("lang", F.col("seq").cast("bigint"), "r.original", "r.translated", "r.reason"))
 
-
-def pandas_frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=cols)
