@@ -2,8 +2,8 @@
 
 Plan shape for a corpus::
 
-    docs ──┬─ short (len <= 4*T) ───────────────────────────────┐
-           └─ long ─ posexplode(lines) ─ Exchange(hash doc key) ─┤
+    docs ──┬─ short by size hint ────────────────────────────────┐
+           └─ rest ─ posexplode(lines) ─ Exchange(hash doc key) ─┤
                      window: fences, headers, sections, blanks   │
                      group (doc, piece) ─ group (doc) ─ fold     │
                      posexplode(parts) ─────────────────────────┴─ union
@@ -182,18 +182,30 @@ def pack_pieces(piece_df: DataFrame, keys, max_tokens: int) -> DataFrame:
             .withColumn("part_no", (F.col("part_no") + 1).cast("bigint")))
 
 
-def split_parts(docs: DataFrame, keys, text: str = "body", max_tokens: int = 8000) -> DataFrame:
+def split_parts(docs: DataFrame, keys, text: str = "body", max_tokens: int = 8000,
+                size_hint: Column | None = None) -> DataFrame:
     """STR-6 … STR-9: ``(keys, part_no, text, n_chars, est_tokens)``.
 
-    A document that fits the budget is one part, unchanged (also when empty);
-    only the others go through the line explode and the single exchange.
+    A document that fits the budget is one part, unchanged (also when empty).
+    ``size_hint`` is a cheap upper bound of ``length(text)`` (e.g. the length
+    of the stored raw text, since preparation only removes characters).
+    Documents under the budget by the hint never leave their scan partition.
+    The others are prepared once and exploded into lines for the single
+    exchange; one that fits after preparation travels as a single "line",
+    which the section and packing steps return unchanged. Routing on a
+    derived ``length(text)`` instead would make Spark evaluate the whole
+    preparation in the filter and again in the projection.
     """
     k = _keys(keys)
-    fits = F.length(text) <= 4 * max_tokens
-    short = docs.where(fits).select(*k, F.lit(1).cast("bigint").alias("part_no"),
-                                    F.col(text).alias("text"))
-    long_docs = docs.where(~fits).select(*k, text)
-    lines = explode_lines(long_docs, k, text)
+    limit = 4 * max_tokens
+    hint = F.length(text) if size_hint is None else size_hint
+    short = docs.where(hint <= limit).select(*k, F.lit(1).cast("bigint").alias("part_no"),
+                                             F.col(text).alias("text"))
+    rest = docs.where(hint > limit)
+    body = F.col(text)
+    units = F.when(F.length(body) <= limit, F.array(body)).otherwise(F.split(body, "\n", -1))
+    lines = (rest.select(*k, F.posexplode(units).alias("line_no", "line"))
+             .withColumn("line_no", F.col("line_no").cast("bigint")))
     secs = assign_sections(classify_lines(lines, k), k)
     packed = pack_pieces(pieces(line_pieces(secs, k, max_tokens), k), k, max_tokens)
     return (short.unionByName(packed)

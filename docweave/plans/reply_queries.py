@@ -13,7 +13,7 @@ from docweave.operators.pairs import pair_translations
 from docweave.operators.routing import BINARY_PROBE_BYTES, CUT_1, CUT_2, CUT_3, is_binary, route
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
-from docweave.plans.text_queries import BUDGET, TARGETS, prepared
+from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
 from docweave.sources import testdata as D
 from docweave.sources.config import TEST_GLOSSARY
 
@@ -72,7 +72,7 @@ def q_route_files(spark, sf_dir):
 def body_requests(spark, sf_dir):
     docs = routed(spark, sf_dir).where(F.col("action_full") == "translate").select("doc_id")
     p = prepared(spark, sf_dir).join(docs, "doc_id", "left_semi")
-    parts = M.split_parts(p, ["doc_id", "rel_path"], "body", BUDGET)
+    parts = split(p, ["doc_id", "rel_path"])
     fan = parts.withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
     return fan.select("doc_id", "rel_path", "lang", "part_no", "text",
                       F.concat_ws(":", F.lit("body"), "rel_path", "lang", F.col("part_no").cast("string"))

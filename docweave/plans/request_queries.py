@@ -14,7 +14,7 @@ from docweave.operators.pairs import pair_translations
 from docweave.operators.routing import output_paths
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
-from docweave.plans.text_queries import BUDGET, TARGETS, prepared
+from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
 from docweave.sources import testdata as D
 from docweave.sources.config import LANG_DIRS, TEST_GLOSSARY, TEST_LANGUAGES
 
@@ -23,7 +23,7 @@ _TLIST = "[" + ", ".join(f"'{t}'" for t in TARGETS) + "]"
 
 
 def keyed_parts(spark, sf_dir):
-    return M.split_parts(prepared(spark, sf_dir), ["doc_id", "rel_path"], "body", BUDGET)
+    return split(prepared(spark, sf_dir), ["doc_id", "rel_path"])
 
 
 _PARTS_WITH = f"WITH RECURSIVE {S.prepared_cte()}, {S.parts_cte()}, {S.glossary_cte()}, {S.langs_cte(TARGETS)}"
