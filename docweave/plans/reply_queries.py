@@ -69,16 +69,28 @@ def q_route_files(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Requests of translate-routed documents and their replies
 
+def translate_docs(spark, sf_dir):
+    """Prepared documents routed ``translate`` (full run). Routing is a
+    property of the row itself, so it is a filter, not a join."""
+    p = prepared(spark, sf_dir)
+    content = D.file_content(F.col("doc_id"), F.col("md"))
+    return p.where(route(F.col("rel_path"), content, True) == "translate")
+
+
 def body_requests(spark, sf_dir):
-    docs = routed(spark, sf_dir).where(F.col("action_full") == "translate").select("doc_id")
-    p = prepared(spark, sf_dir).join(docs, "doc_id", "left_semi")
-    parts = split(p, ["doc_id", "rel_path"])
+    parts = split(translate_docs(spark, sf_dir), ["doc_id", "rel_path"])
     fan = parts.withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
     return fan.select("doc_id", "rel_path", "lang", "part_no", "text",
                       F.concat_ws(":", F.lit("body"), "rel_path", "lang", F.col("part_no").cast("string"))
                       .alias("request_id"), F.col("text").alias("user_prompt"))
 
 
+def doc_frontmatter(spark, sf_dir):
+    """Frontmatter of translate-routed documents, once per target language."""
+    return (translate_docs(spark, sf_dir).select("rel_path", "frontmatter")
+            .withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS]))))
+
+
 def joined_replies(spark, sf_dir):
     req = body_requests(spark, sf_dir)
     return RS.join_responses(req.drop("text"), D.responses_for(req))
@@ -136,8 +148,7 @@ SELECT d.lang, d.rel_path, 'output/' || d.lang || '/' || d.rel_path AS output_pa
 FROM docs d JOIN prepared p ON p.rel_path = d.rel_path
 """)
 def q_translated_docs(spark, sf_dir):
-    docs = RS.assemble_documents(joined_replies(spark, sf_dir),
-                                 prepared(spark, sf_dir).select("rel_path", "frontmatter"))
+    docs = RS.assemble_documents(joined_replies(spark, sf_dir), doc_frontmatter(spark, sf_dir))
     return docs.select("lang", "rel_path", F.concat_ws("/", F.lit("output"), "lang", "rel_path").alias("output_path"),
                        "text", "n_parts", "n_fallback", "tokens")
 

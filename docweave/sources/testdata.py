@@ -196,13 +196,16 @@ FROM (SELECT t.*, o.conv_id, o.turn, o.original, {VR_SQL} AS vr
 # File rows with bytes: text files are the UTF-8 of ``md``; .png files get a
 # PNG signature in front; doc_id % 9 = 0 appends an invalid byte (binary when
 # within the 8192-byte probe, an undecodable text file after it).
+def file_content(doc_id, md):
+    body = F.encode(md, "UTF-8")
+    return (F.when(doc_id % 4 == 3, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), body))
+            .when(doc_id % 9 == 0, F.concat(body, F.unhex(F.lit("FF"))))
+            .otherwise(body))
+
+
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     md = md_docs(spark, sf_dir)
-    body = F.encode("md", "UTF-8")
-    content = (F.when(F.col("doc_id") % 4 == 3, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), body))
-               .when(F.col("doc_id") % 9 == 0, F.concat(body, F.unhex(F.lit("FF"))))
-               .otherwise(body))
-    return md.select("doc_id", "rel_path", content.alias("content"))
+    return md.select("doc_id", "rel_path", file_content(F.col("doc_id"), F.col("md")).alias("content"))
 
 
 FILE_ROWS_SQL = f"""SELECT doc_id, rel_path,
