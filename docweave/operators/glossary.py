@@ -71,6 +71,15 @@ def earlier_terms(parts: DataFrame, keys: list[str], glossary: Glossary,
         "earlier", F.array_distinct(F.transform(F.array_sort(prev), lambda x: x["term"])))
 
 
+def earlier_terms_split(short: DataFrame, packed: DataFrame, keys: list[str], glossary: Glossary,
+                        text: str = "text", part_no: str = "part_no") -> DataFrame:
+    """WIN-4 over the two branches of ``split_parts_branches``: a one-part
+    document has no earlier parts, and the multi-part branch is already
+    partitioned by document, so the window adds no exchange."""
+    empty = F.array().cast("array<string>")
+    return short.withColumn("earlier", empty).unionByName(earlier_terms(packed, keys, glossary, text, part_no))
+
+
 def earlier_block(earlier: Column | str, lang: Column | str, glossary: Glossary) -> Column:
     """Prompt block for the earlier terms that have a translation in ``lang``."""
     e = F.col(earlier) if isinstance(earlier, str) else earlier

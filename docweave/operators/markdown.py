@@ -182,9 +182,13 @@ def pack_pieces(piece_df: DataFrame, keys, max_tokens: int) -> DataFrame:
             .withColumn("part_no", (F.col("part_no") + 1).cast("bigint")))
 
 
-def split_parts(docs: DataFrame, keys, text: str = "body", max_tokens: int = 8000,
-                size_hint: Column | None = None) -> DataFrame:
-    """STR-6 … STR-9: ``(keys, part_no, text, n_chars, est_tokens)``.
+def split_parts_branches(docs: DataFrame, keys, text: str = "body", max_tokens: int = 8000,
+                         size_hint: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """STR-6 … STR-9: ``(short, packed)``, both ``(keys, part_no, text)``.
+
+    ``short`` holds one-part documents still in their scan partitioning;
+    ``packed`` comes out of the per-document aggregation, hash-partitioned by
+    ``keys``, so a later window or aggregate by document needs no exchange.
 
     A document that fits the budget is one part, unchanged (also when empty).
     ``size_hint`` is a cheap upper bound of ``length(text)`` (e.g. the length
@@ -208,8 +212,19 @@ def split_parts(docs: DataFrame, keys, text: str = "body", max_tokens: int = 800
              .withColumn("line_no", F.col("line_no").cast("bigint")))
     secs = assign_sections(classify_lines(lines, k), k)
     packed = pack_pieces(pieces(line_pieces(secs, k, max_tokens), k), k, max_tokens)
-    return (short.unionByName(packed)
-            .withColumn("n_chars", F.length("text").cast("bigint"))
+    return short, packed
+
+
+def split_parts(docs: DataFrame, keys, text: str = "body", max_tokens: int = 8000,
+                size_hint: Column | None = None) -> DataFrame:
+    """Both branches of :func:`split_parts_branches` with sizes:
+    ``(keys, part_no, text, n_chars, est_tokens)``."""
+    short, packed = split_parts_branches(docs, keys, text, max_tokens, size_hint)
+    return with_sizes(short.unionByName(packed))
+
+
+def with_sizes(parts: DataFrame) -> DataFrame:
+    return (parts.withColumn("n_chars", F.length("text").cast("bigint"))
             .withColumn("est_tokens", F.length("text").cast("double") / 4.0))
 
 

@@ -14,7 +14,7 @@ from docweave.operators.pairs import pair_translations
 from docweave.operators.routing import output_paths
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
-from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
+from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split, split_branches
 from docweave.sources import testdata as D
 from docweave.sources.config import LANG_DIRS, TEST_GLOSSARY, TEST_LANGUAGES
 
@@ -45,11 +45,16 @@ def q_glossary_hits(spark, sf_dir):
 
 
 # --- WIN-4 ------------------------------------------------------------------
+def with_earlier(spark, sf_dir):
+    short, packed = split_branches(prepared(spark, sf_dir), ["doc_id", "rel_path"])
+    return G.earlier_terms_split(short, packed, ["doc_id", "rel_path"], GL)
+
+
 @register("terms_seen_before", "WIN-4", sql=f"""{_PARTS_WITH}, {S.earlier_cte()}
 SELECT doc_id, part_no, lang AS target_lang, coalesce(earlier_terms, '') AS earlier_terms FROM eb
 """)
 def q_terms_seen_before(spark, sf_dir):
-    e = G.earlier_terms(keyed_parts(spark, sf_dir), ["doc_id"], GL)
+    e = with_earlier(spark, sf_dir)
     fan = e.withColumn("target_lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
     g = GL.array()
     with_tr = F.filter("earlier", lambda t: F.exists(g, lambda x: (x["term"] == t)
@@ -95,7 +100,7 @@ FROM (
 {_req_sql_select()}
 """)
 def q_translation_requests(spark, sf_dir):
-    parts = G.earlier_terms(keyed_parts(spark, sf_dir), ["doc_id"], GL)
+    parts = with_earlier(spark, sf_dir)
     return (R.translation_requests(parts, spark, TARGETS, TEST_LANGUAGES, GL, D.issues(spark, sf_dir))
             .select("request_id", "kind", "rel_path", "lang", "part_no", "field", "system_prompt",
                     "user_prompt", "cache_key"))

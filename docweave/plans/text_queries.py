@@ -26,6 +26,10 @@ def split(p: DataFrame, keys) -> DataFrame:
     return M.split_parts(p, keys, "body", BUDGET, size_hint=F.length("md"))
 
 
+def split_branches(p: DataFrame, keys):
+    return M.split_parts_branches(p, keys, "body", BUDGET, size_hint=F.length("md"))
+
+
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(prepared(spark, sf_dir), "doc_id")
 
