@@ -26,10 +26,12 @@ def recent_improvements(memory: DataFrame, n: int = RECENT_N) -> DataFrame:
 
     A language is a hot group (a third of all rows), so the latest rows come
     from a salted two-stage top-k and the row count from a partial aggregate.
+    The per-language counts carry no broadcast hint: their size comes from the
+    data, so AQE decides from the measured size (broadcast when small).
     """
     counts = memory.groupBy("lang").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_m"))
     recent = top_k_per_group(memory, ["lang"], [F.col("seq").desc()], n, ["seq"], "_rn")
-    return (recent.join(F.broadcast(counts), "lang")
+    return (recent.join(counts, "lang")
             .withColumn("idx", (F.col("_m") - F.col("_rn") + 1).cast("bigint"))
             .withColumn("complete", (_s("original") != "") & (_s("translated") != "") & (_s("reason") != ""))
             .drop("_rn", "_m"))
@@ -65,7 +67,8 @@ def append_memory(existing: DataFrame, new_rows: DataFrame, order_cols: list[str
 
     The rank comes from a global sort plus ``zipWithIndex`` (one counting
     job, then a distributed pass), so a hot language is never ranked in one
-    task; the per-language offsets are tiny aggregates (one row per language).
+    task; the per-language offsets are one row per language, joined without a
+    hint (AQE broadcasts them from their measured size).
     """
     spark = new_rows.sparkSession
     ordered = new_rows.select("lang", "original", "translated", "reason", *[
@@ -74,6 +77,6 @@ def append_memory(existing: DataFrame, new_rows: DataFrame, order_cols: list[str
     indexed = spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])), schema)
     first = indexed.groupBy("lang").agg(F.min("_gidx").alias("_first"))
     mx = existing.groupBy("lang").agg(F.max("seq").alias("_mx"))
-    return (indexed.join(F.broadcast(first), "lang").join(F.broadcast(mx), "lang", "left")
+    return (indexed.join(first, "lang").join(mx, "lang", "left")
             .withColumn("seq", (F.coalesce("_mx", F.lit(-1)) + 1 + F.col("_gidx") - F.col("_first")).cast("bigint"))
             .select("lang", "seq", "original", "translated", "reason"))
