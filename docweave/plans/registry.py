@@ -14,15 +14,18 @@ class Query:
     build: Callable[[SparkSession, str], DataFrame]
     sql: str | None
     ids: str  # SURVEY inventory ids covered
+    # Brute-force SQL too slow for whole tables at the check's scale (all
+    # pairs of a language): checked by the tests on a small fixture only.
+    brute_sql: str | None = None
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(key: str, ids: str, sql: str | None = None):
+def register(key: str, ids: str, sql: str | None = None, brute_sql: str | None = None):
     def deco(fn):
         if key in REGISTRY:
             raise ValueError(f"duplicate query key {key}")
-        REGISTRY[key] = Query(key, fn, sql, ids)
+        REGISTRY[key] = Query(key, fn, sql, ids, brute_sql)
         return fn
     return deco

@@ -57,7 +57,7 @@ MD_DOCS_CTE = f"""md_docs AS (
 
 # ---------------------------------------------------------------------------
 # Issues derived from documents (issue memory and validation inputs).
-# Reason templates by doc_id % 4 (one Russian glossary reason,
+# Reason templates by (doc_id + line) % 4 (one Russian glossary reason,
 # two near-identical English ones, one blank).
 REASONS = ("термин переведён не по глоссарию",
            "the meaning of the sentence is lost in translation",
@@ -66,26 +66,39 @@ REASONS = ("термин переведён не по глоссарию",
 
 TARGET_BY_MOD3 = ("en", "es", "zh")
 
-ISSUES_EXPR = {
-    "lang": "element_at(array('en','es','zh'), CAST(doc_id % 3 + 1 AS INT))",
-    "file_path": "concat(source, '/', CAST(doc_id AS STRING), '.md')",
-    "seq": "CAST(doc_id AS BIGINT)",
-    "original": "substring(text, 1, 60)",
-    "translated": "substring(text, 61, 60)",
-    "reason": "element_at(array({}), CAST(doc_id % 4 + 1 AS INT))".format(
-        ", ".join("'" + r + "'" for r in REASONS)),
-}
+# One issue per line of every document (whole texts, every line): original
+# = line k, translated = the next line (cyclic), reason by (doc_id + k) % 4,
+# seq = doc_id * 100000 + k (arrival order: document, then line).
+LINE_SEQ = 100_000
 
 ISSUES_SQL = """SELECT (CASE doc_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang,
        source || '/' || CAST(doc_id AS VARCHAR) || '.md' AS file_path,
-       CAST(doc_id AS BIGINT) AS seq, substr(text, 1, 60) AS original, substr(text, 61, 60) AS translated,
-       ([{}])[doc_id % 4 + 1] AS reason
-FROM documents""".format(", ".join("'" + r + "'" for r in REASONS))
+       CAST(doc_id * {seq} + k AS BIGINT) AS seq, lines[k + 1] AS original,
+       lines[(k + 1) % len(lines) + 1] AS translated,
+       ([{reasons}])[(doc_id + k) % 4 + 1] AS reason
+FROM (SELECT doc_id, source, lines, unnest(range(len(lines))) AS k
+      FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents))""".format(
+    seq=LINE_SEQ, reasons=", ".join("'" + r + "'" for r in REASONS))
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(lang, file_path, seq, original, translated, reason)`` one per document."""
-    return documents(spark, sf_dir).select(*[F.expr(v).alias(k) for k, v in ISSUES_EXPR.items()])
+    """``(lang, file_path, seq, original, translated, reason)``, one per line
+    of every document."""
+    d = documents(spark, sf_dir).select("doc_id", "source", F.split("text", "\n", -1).alias("lines"))
+    # Each line paired with the next one (cyclic) before exploding, so an
+    # exploded row carries two lines, not its document's whole line array.
+    nxt = F.concat(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), F.slice("lines", 1, 1))
+    lines = (d.select("doc_id", "source", F.posexplode(F.arrays_zip(F.col("lines").alias("o"), nxt.alias("t")))
+                      .alias("k", "p"))
+             .select("doc_id", "source", "k", F.col("p.o").alias("original"), F.col("p.t").alias("translated")))
+    k = F.col("k")
+    return lines.select(
+        F.element_at(F.array(*[F.lit(t) for t in TARGET_BY_MOD3]), (F.col("doc_id") % 3 + 1).cast("int")).alias("lang"),
+        F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_path"),
+        (F.col("doc_id") * LINE_SEQ + k).cast("bigint").alias("seq"),
+        "original",
+        "translated",
+        F.element_at(F.array(*[F.lit(r) for r in REASONS]), ((F.col("doc_id") + k) % 4 + 1).cast("int")).alias("reason"))
 
 
 # ---------------------------------------------------------------------------
