@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +16,8 @@ from pyspark.sql import functions as F
 from docweave.llm import common as C
 from docweave.session import read_table, ship_package
 
-#: Tokens of a sequence; tokens that a task holds before it closes all windows; words in a task's cache.
-LENGTH, HELD_TOKENS, CACHED_WORDS = 1024, 4 << 20, 300_000
+#: Tokens of a sequence; tokens that a task holds before it closes all windows; words in a generation of a worker's cache.
+LENGTH, HELD_TOKENS, CACHED_WORDS = 1024, 4 << 20, 400_000
 
 
 class Windows:
@@ -70,37 +72,84 @@ def best_fit_decreasing(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.
     return window, offset, n
 
 
+def _byte_ranks(path: str) -> tuple[dict[bytes, int], list[str]] | None:
+    """Byte sequence -> id of a byte-level vocabulary whose ids are in the order of its merges, and its
+    added tokens; None for any other vocabulary."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, merges = spec["model"].get("vocab"), spec["model"].get("merges")
+    if (spec["model"]["type"], (spec.get("pre_tokenizer") or {}).get("type"), spec.get("normalizer")) != ("BPE", "ByteLevel", None):
+        return None
+    ids = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
+    if ids != list(range(256, 256 + len(ids))):
+        return None
+    # byte-level vocabularies write visible bytes as themselves, the others as characters from 256 on
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    of = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(visible))}
+    added = [t["content"] for t in spec.get("added_tokens", [])]
+    return {bytes(of[c] for c in token): i for token, i in vocab.items() if token not in added}, added
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes, by a ``tokenizers`` file.
 
     The vocabulary's pre-tokenisation always cuts before a single blank that stands between
     non-blank characters and around a line break between them. Texts with only such white space are encoded word by
-    word through a bounded cache; other texts are encoded whole. Ids are the same either way.
+    word; other texts are encoded whole. Ids are the same either way. Words are kept in two
+    generations: when the young one is full it becomes the old one, from which words in use come back.
+    New words of many texts are merged in one call, by the same vocabulary's byte ranks where it has them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.later: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.merged = None
+        if found := _byte_ranks(path):
+            ranks, self.added = found
+            self.merged = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+            self.sizes[list(ranks.values())] = [len(b) for b in ranks]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not text or len(text.split()) != 1 + text.count(" ") + text.count("\n") or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.whole(text) if text else b""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        cache = self.later
-        try:
-            return self.whole(first) + b"".join([cache[w] for w in rest])
-        except KeyError:
-            if len(cache) > CACHED_WORDS:
-                cache.clear()
-            new = list({w for w in rest if w not in cache})
-            found = self.tokenizer.encode_batch([w if w[0] == "\n" else " " + w for w in new], add_special_tokens=False)
-            cache.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(new, found))
-            return self.whole(first) + b"".join([cache[w] for w in rest])
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes() if text else b""
+
+    def _learn(self, words: set[str]) -> None:
+        young, old = self.young, self.old
+        if len(young) > CACHED_WORDS:
+            young, old = self.young, self.old = {}, young
+        new = []
+        for w in words - young.keys():
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            else:
+                new.append(w)
+        spelled = [w if w[0] == "\n" else " " + w for w in new]
+        if not self.merged or any(t in "".join(spelled) for t in self.added):
+            young.update((w, self.whole(s)) for w, s in zip(new, spelled))
+        elif new:
+            ids = np.array(self.merged.encode_ordinary("".join(spelled)), np.uint32)
+            ends = np.cumsum([len(s.encode()) for s in spelled])
+            cut = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+            data = ids.tobytes()
+            young.update(zip(new, [data[a:b] for a, b in zip([0, *cut], cut)]))
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        split = [t.replace("\n", " \n").split(" ") if t and len(t.split()) == 1 + t.count(" ") + t.count("\n")
+                 and not any(c in t for c in "\x1c\x1d\x1e\x1f") else None for t in texts]
+        self._learn(set().union(*(words[1:] for words in split if words)))
+        ids = self.young.__getitem__
+        return [self.whole(words[0]) + b"".join(map(ids, words[1:])) if words else self.whole(t or "") for t, words in zip(texts, split)]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One per Python worker: its words serve the worker's later tasks too."""
+    return Encoder(path)
 
 
 _SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -123,11 +172,11 @@ def _pack(path: str, length: int, end_id: int, held_tokens: int):
         return batches(), n
 
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         base, pieces, held = TaskContext.get().partitionId() << 40, [], 0
         for part, _, _ in C.text_blocks(batches, "text"):
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                data = encode(text or "") + tail
+            for doc, data in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                data += tail
                 total = len(data) // 4
                 for start in range(0, total, length):
                     pieces.append((doc, start, data[4 * start:4 * (start + length)], total))
