@@ -1,7 +1,7 @@
 """Glossary operators: hits per text (JOIN-3), earlier terms (WIN-4), the
 ordered prompt block (AGG-7) and per-pair consistency (QA-2).
 
-The glossary is a literal array (bounded by ``MAX_GLOSSARY_ROWS``), so a hit
+The glossary is a literal array (a small configuration file), so a hit
 test is one ``filter(array, contains)`` per row: no row blow-up, no join.
 """
 

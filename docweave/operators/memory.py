@@ -4,11 +4,12 @@ block (AGG-8); completeness filter (FLT-5) and append with sequence numbers
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions.text import strip
 from docweave.operators.topk import top_k_per_group
+from docweave.session import materialize
 
 # Improvements prompt texts.
 IMPROVEMENTS_HEADING = "\n\nBased on previous translation issues, pay special attention to these cases:\n"
@@ -37,14 +38,20 @@ def recent_improvements(memory: DataFrame, n: int = RECENT_N) -> DataFrame:
             .drop("_rn", "_m"))
 
 
+# The labels of one item in the improvements block.
+ITEM_ISSUE = ". Issue: "
+ITEM_ORIGINAL = "\n   Original: "
+ITEM_TRANSLATED = "\n   Incorrect translation: "
+ITEM_END = "\n   Avoid this mistake.\n\n"
+
+
 def improvements_blocks(memory: DataFrame, n: int = RECENT_N) -> DataFrame:
     """AGG-8: ``(lang, improvements_block)`` for every language with memory
     rows; the heading appears even if none of the recent rows is complete."""
     item = F.concat(
-        F.col("idx").cast("string"), F.lit(". Issue: "), F.col("reason"), F.lit("\n"),
-        F.lit("   Original: "), F.col("original"), F.lit("\n"),
-        F.lit("   Incorrect translation: "), F.col("translated"), F.lit("\n"),
-        F.lit("   Avoid this mistake.\n\n"))
+        F.col("idx").cast("string"), F.lit(ITEM_ISSUE), F.col("reason"),
+        F.lit(ITEM_ORIGINAL), F.col("original"),
+        F.lit(ITEM_TRANSLATED), F.col("translated"), F.lit(ITEM_END))
     r = recent_improvements(memory, n).withColumn("_item", F.when(F.col("complete"), item))
     return (r.groupBy("lang")
             .agg(F.array_join(F.transform(
@@ -65,18 +72,19 @@ def append_memory(existing: DataFrame, new_rows: DataFrame, order_cols: list[str
     """SNK-4: new rows get ``seq = max(existing seq of the language) + 1, + 2, …``
     in arrival order (``order_cols``, which must be unique per language).
 
-    The rank comes from a global sort plus ``zipWithIndex`` (one counting
-    job, then a distributed pass), so a hot language is never ranked in one
-    task; the per-language offsets are one row per language, joined without a
-    hint (AQE broadcasts them from their measured size).
+    Rows are range-partitioned by (language, order) and written, so that ranges
+    are fixed; a row's rank is its number within (range, language) plus the
+    counts of the language in earlier ranges (one row per range and language).
+    A hot language is never ranked in one task.
     """
-    spark = new_rows.sparkSession
-    ordered = new_rows.select("lang", "original", "translated", "reason", *[
-        c for c in order_cols if c not in ("lang", "original", "translated", "reason")]).orderBy("lang", *order_cols)
-    schema = ordered.schema.add("_gidx", "long")
-    indexed = spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])), schema)
-    first = indexed.groupBy("lang").agg(F.min("_gidx").alias("_first"))
+    cols = ["lang", "original", "translated", "reason"]
+    ranged = materialize(
+        new_rows.select(*cols, *[c for c in order_cols if c not in cols])
+        .repartitionByRange("lang", *order_cols).withColumn("_part", F.spark_partition_id()), "memory-ranges")
+    per = ranged.groupBy("lang", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = per.select("lang", "_part", (F.sum("_n").over(Window.partitionBy("lang").orderBy("_part")) - F.col("_n")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order_cols))
     mx = existing.groupBy("lang").agg(F.max("seq").alias("_mx"))
-    return (indexed.join(first, "lang").join(mx, "lang", "left")
-            .withColumn("seq", (F.coalesce("_mx", F.lit(-1)) + 1 + F.col("_gidx") - F.col("_first")).cast("bigint"))
+    return (ranged.withColumn("_rank", rank).join(before, ["lang", "_part"]).join(mx, "lang", "left")
+            .withColumn("seq", (F.coalesce("_mx", F.lit(-1)) + F.col("_before") + F.col("_rank")).cast("bigint"))
             .select("lang", "seq", "original", "translated", "reason"))

@@ -292,7 +292,7 @@ def q_translation_pairs(spark, sf_dir):
 def _val_user_sql() -> str:
     slots = {"{original}": "o.original", "{lang}": "t.lang", "{translated}": "t.translated",
              "{file_path}": "t.file_path"}
-    return " || ".join(slots.get(p, S.q(p)) for p in R.VALIDATION_USER_PARTS)
+    return " || ".join(slots.get(p, S.q(p)) for p in R.validation_user_parts())
 
 
 @register("validation_requests", "REQ-3", sql=f"""WITH {S.glossary_cte()}, {S.langs_cte(TARGETS)}, {S.gblock_cte()},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +16,30 @@ def get_spark(master: str | None = None, app: str = "docweave",
     On a cluster the master, memory and shuffle width come from spark-submit;
     the values here only apply when nothing else set them (local runs, tests).
     """
+    from pyspark import SparkConf, SparkContext
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("DOCWEAVE_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
-    )
+    defaults = {
+        "spark.master": f"local[{cpus}]",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("DOCWEAVE_DRIVER_MEMORY", "16g"),
+        "spark.sql.shuffle.partitions": str(int(cpus) * 2),
+    }
+    asked = {"spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions and str(shuffle_partitions)}
+    builder = SparkSession.builder.appName(app)
+    if SparkContext._active_spark_context is None:  # noqa: SLF001 - a running session keeps what it has
+        given = SparkConf() if SparkContext._jvm else None  # noqa: SLF001 - spark-submit's settings
+        for k, v in defaults.items():
+            if not (given and given.contains(k)):
+                builder = builder.config(k, v)
+    for k, v in asked.items():
+        if v:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -37,13 +48,17 @@ def get_spark(master: str | None = None, app: str = "docweave",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where one
+    machine is all there is, an unset folder becomes a scratch folder; a
+    cluster without one is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is unset on {master}: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="docweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -68,8 +68,8 @@ TARGET_BY_MOD3 = ("en", "es", "zh")
 
 # One issue per line of every document (whole texts, every line): original
 # = line k, translated = the next line (cyclic), reason by (doc_id + k) % 4,
-# seq = doc_id * 100000 + k (arrival order: document, then line).
-LINE_SEQ = 100_000
+# seq = doc_id * 10000000 + k (arrival order: document, then line).
+LINE_SEQ = 10_000_000
 
 ISSUES_SQL = """SELECT (CASE doc_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang,
        source || '/' || CAST(doc_id AS VARCHAR) || '.md' AS file_path,
