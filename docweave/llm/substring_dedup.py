@@ -131,7 +131,17 @@ def _first_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _bucket_rows(rows: list[tuple[int, int, list[np.ndarray]]], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-         *(pa.array([r[2][k].tobytes() for r in rows], pa.binary()) for k in range(len(names)))], ["bucket", "kind", *names])
+         *(pa.array([_squeeze(r[2][k]) for r in rows], pa.binary()) for k in range(len(names)))], ["bucket", "kind", *names])
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """Packed values: their size in bytes, then zstd."""
+    return np.int64(values.nbytes).tobytes() + pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: pa.Buffer, kind) -> np.ndarray:
+    size = int(np.frombuffer(blob, np.int64, 1)[0])
+    return np.frombuffer(pa.decompress(blob.slice(8), size, codec="zstd"), kind) if size else np.zeros(0, kind)
 
 
 _ENTRY = ["h", "id", "uid", "spot"]
@@ -154,15 +164,13 @@ def _emit_anchors(length: int, gram: int, buckets: int):
             cols = [c[order] for c in cols]
             group = np.cumsum(new) - 1
             again = np.bincount(group)[group] > 1
-            rows = [(b, 0, c) for b, c in _deal((cols[0][new] >> C.U64(40)).astype(np.int64) % buckets, [c[new] for c in cols])]
             # an entry of kind 0 that is known to recur needs no answer: its spot is void
-            for _, _, c in rows:
-                c[3] = c[3].copy()
-            known = set(cols[0][new & again].tolist())
-            if known:
-                for _, _, c in rows:
-                    c[3][np.isin(c[0], np.fromiter(known, np.uint64, len(known)))] = -1
-                rows += [(b, 1, c) for b, c in _deal(cols[1][again] % buckets, [c[again] for c in cols])]
+            spots = np.where(again, -1, cols[3])
+            bucket = (cols[0] >> C.U64(40)).astype(np.int64) % buckets
+            # the bucket and 32 more bits: a chance match only costs a context
+            cols[0] = cols[0].astype(np.uint32)
+            rows = [(b, 0, c) for b, c in _deal(bucket[new], [c[new] for c in (*cols[:3], spots)])]
+            rows += [(b, 1, c) for b, c in _deal(cols[1][again] % buckets, [c[again] for c in cols])]
             yield _bucket_rows(rows, _ENTRY)
     return run
 
@@ -182,7 +190,7 @@ def _buckets(batches, names: list[str], types: list) -> Iterator[tuple[list, lis
                 held = ([], [])
             now = bucket
             held[batch.column(1)[i].as_py()].append(
-                [np.frombuffer(batch.column(2 + k)[i].as_buffer(), t) for k, t in enumerate(types)])
+                [_unpack(batch.column(2 + k)[i].as_buffer(), t) for k, t in enumerate(types)])
     if now is not None:
         yield joined()
 
@@ -200,7 +208,7 @@ def _per_document(ids: np.ndarray, uids: np.ndarray, values: list[np.ndarray], n
 
 def _recurring(batches):
     """Spots whose anchor occurs at two places or more."""
-    for fresh, known in _buckets(batches, _ENTRY, [np.uint64, np.int64, np.int64, np.int64]):
+    for fresh, known in _buckets(batches, _ENTRY, [np.uint32, np.int64, np.int64, np.int64]):
         order, new = _first_of(fresh[0])
         group = np.cumsum(new) - 1
         spot = fresh[3][order]
@@ -210,9 +218,9 @@ def _recurring(batches):
             yield _per_document(ids, uids, [spots], "spots")
 
 
-_CONTEXT = ["h", "id", "uid", "start", "lead", "windows", "size", "bytes"]
+_CONTEXT = ["id", "uid", "start", "lead", "windows", "size", "bytes"]
 _CONTEXT_SCHEMA = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in _CONTEXT)
-_CONTEXT_TYPES = [np.uint64, np.int64, np.int64, np.int64, np.uint8, np.uint8, np.uint8, np.uint8]
+_CONTEXT_TYPES = [np.int64, np.int64, np.int64, np.uint8, np.uint8, np.uint8, np.uint8]
 
 
 def _emit_contexts(length: int, gram: int, buckets: int):
@@ -239,7 +247,7 @@ def _emit_contexts(length: int, gram: int, buckets: int):
                 by = h[chosen] >> C.U64(40) if kind == 0 else ids[owner[chosen]].astype(np.uint64)
                 for b, (c,) in _deal((by % C.U64(buckets)).astype(np.int64), [chosen]):
                     text = [buf[x:y] for x, y in zip(begin[c].tolist(), (begin[c] + size[c]).tolist())] if kind == 0 else [buf[:0]]
-                    rows.append((b, kind, [h[c], ids[owner[c]], uids[owner[c]], start[c], lead[c].astype(np.uint8),
+                    rows.append((b, kind, [ids[owner[c]], uids[owner[c]], start[c], lead[c].astype(np.uint8),
                                            windows[c].astype(np.uint8), size[c].astype(np.uint8), np.concatenate(text)]))
             yield _bucket_rows(rows, _CONTEXT)
     return run
@@ -257,9 +265,10 @@ def _factors(text: np.ndarray, at: np.ndarray, place: np.ndarray, length: int) -
     return found
 
 
-def _solve(h, ids, uids, start, lead, windows, size, text, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _solve(ids, uids, start, lead, windows, size, text, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Repeated window ranges of one bucket's contexts: (index, first window, last window)."""
     where = np.concatenate(([0], np.cumsum(size.astype(np.int64))))
+    h = C.word_hashes(text, where[:-1] + lead, where[:-1] + lead + gram)
     whole = C.word_hashes(text, where[:-1], where[1:]) ^ C.mix64(lead.astype(np.uint64))
     rank = np.empty(len(h), np.int64)
     by_place = np.lexsort((start, uids, ids))
@@ -309,16 +318,16 @@ def _solve(h, ids, uids, start, lead, windows, size, text, length: int) -> Itera
             yield owner[hit[cut]], offset[hit[cut]], offset[hit[ends]]
 
 
-def _solve_buckets(length: int):
+def _solve_buckets(length: int, gram: int):
     def run(batches):
         for fresh, known in _buckets(batches, _CONTEXT, _CONTEXT_TYPES):
-            ids, uids, begin, end = [known[1]], [known[2]], [known[3]], [known[3] + known[5].astype(np.int64) - 1 + length]
+            ids, uids, begin, end = [known[0]], [known[1]], [known[2]], [known[2] + known[4].astype(np.int64) - 1 + length]
             if len(fresh[0]):
-                for i, first, last in _solve(*fresh, length):
-                    ids.append(fresh[1][i])
-                    uids.append(fresh[2][i])
-                    begin.append(fresh[3][i] + first)
-                    end.append(fresh[3][i] + last + length)
+                for i, first, last in _solve(*fresh, length, gram):
+                    ids.append(fresh[0][i])
+                    uids.append(fresh[1][i])
+                    begin.append(fresh[2][i] + first)
+                    end.append(fresh[2][i] + last + length)
             ids, uids, begin, end = map(np.concatenate, (ids, uids, begin, end))
             if len(ids):
                 yield _per_document(ids, uids, [begin, end], "spans")
@@ -400,7 +409,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = dealt.join(listed, ["id", "uid"]).select("id", "uid", "text", "spots") \
         .mapInArrow(_emit_contexts(length, gram, buckets), _CONTEXT_SCHEMA)
     spans = contexts.repartition("bucket").sortWithinPartitions("bucket") \
-        .mapInArrow(_solve_buckets(length), "id long, uid long, spans binary") \
+        .mapInArrow(_solve_buckets(length, gram), "id long, uid long, spans binary") \
         .groupBy("id", "uid").agg(F.collect_list("spans").alias("spans"))
     out = dealt.join(spans, ["id", "uid"], "left").select("id", "uid", "text", "spans").mapInArrow(
         _cut, "id long, uid long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
