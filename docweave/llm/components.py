@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from docweave.llm.common import Scratch
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every vertex points to one root and no root points further."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -38,14 +41,9 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     hot vertex is a partial minimum plus a join that AQE can split. Every round
     is written to the shared folder.
     """
-    edges = scratch.save(_small(links), f"{name}-0")
-    last, k = _fingerprint(edges), 0
-    while last[0]:
+    edges, k = scratch.save(_small(links), f"{name}-0"), 0
+    while not _stars(edges):
         k += 1
         edges = scratch.save(_small(_large(edges)), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
-        now = _fingerprint(edges)
-        if now == last:
-            break
-        last = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))

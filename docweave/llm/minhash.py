@@ -49,7 +49,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     number = np.arange(1, bands + 1, dtype=np.uint64) * C.U64(0x9E3779B97F4A7C15)
     key = np.broadcast_to(number[:, None], (bands, signatures.shape[1]))
     for r in range(rows):
-        key = C.mix64(key ^ signatures[r::rows].astype(np.uint64)) + C.U64(r + 1)
+        key = C.mix64(key ^ signatures[r:bands * rows:rows].astype(np.uint64)) + C.U64(r + 1)
     return C.mix64(key).T
 
 
@@ -58,18 +58,48 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-SIGNED = "n_shingles long, k1 long, k2 long, bands array<long>"
+SIGNED = "n_shingles long, k1 long, k2 long, bands array<long>, sketch array<long>"
+SIGNED_NAMES = ["n_shingles", "k1", "k2", "bands", "sketch"]
+#: Bits of a coordinate that a sketch keeps, coordinates of a sketch, and classes of a bucket's block.
+PLANES, SKETCH, BLOCK = 4, 128, 2000
+
+
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """The last PLANES bits of every coordinate, one bit plane after the other: (texts, longs)."""
+    n, texts = signatures.shape
+    words = -(-n // 64)
+    bits = np.zeros((PLANES, words * 64, texts), np.uint8)
+    for j in range(PLANES):
+        bits[j, :n] = signatures >> np.uint32(j) & np.uint32(1)
+    return np.packbits(bits.reshape(PLANES * words, 64, texts), axis=1, bitorder="little").transpose(2, 0, 1).copy().view(np.uint64)[:, :, 0]
+
+
+def may_agree(a: Column, b: Column, coordinates: int, percent: int) -> Column:
+    """Whether two sketches agree in as many coordinates as similar sets do. A pair at ``percent`` agrees in
+    J + (1 - J) / 2**PLANES of them; one in 40,000 such pairs lies 4.1 deviations below."""
+    words = -(-coordinates // 64)
+    apart = F.lit(0)
+    for w in range(words):
+        differ = F.lit(0).cast("long")
+        for j in range(PLANES):
+            differ = differ.bitwiseOR(F.get(a, F.lit(j * words + w)).bitwiseXOR(F.get(b, F.lit(j * words + w))))
+        apart = apart + F.bit_count(differ)
+    share = percent / 100 + (1 - percent / 100) / 2 ** PLANES
+    return F.lit(coordinates) - apart >= int(coordinates * share - 4.1 * (coordinates * share * (1 - share)) ** 0.5)
 
 
 def signed_columns(values: np.ndarray, first: np.ndarray, bands: int, rows: int) -> list[pa.Array]:
     """Columns SIGNED of distinct shingle sets: size, 128 bits that depend on the
-    set only, one key per band (no keys for an empty set)."""
-    keys = np.ascontiguousarray(band_keys(circulant_signatures(values, first, bands * rows), bands, rows))
+    set only, one key per band (no keys for an empty set), sketch."""
+    signatures = circulant_signatures(values, first, max(bands * rows, SKETCH))
+    keys = np.ascontiguousarray(band_keys(signatures, bands, rows))
+    bits = sketches(signatures[:SKETCH])
     some = np.diff(first) > 0
     offsets = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
     return [pa.array(np.diff(first).astype(np.int64)), C.longs(_sums(C.mix64(values), first)),
             C.longs(_sums(C.mix64(values ^ C.U64(0xA5A5A5A55A5A5A5A)), first)),
-            pa.ListArray.from_arrays(pa.array(offsets), C.longs(keys[some].reshape(-1)))]
+            pa.ListArray.from_arrays(pa.array(offsets), C.longs(keys[some].reshape(-1))),
+            pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * bits.shape[1]), C.longs(bits.reshape(-1)))]
 
 
 def member_column(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -92,6 +122,14 @@ def _verify(percent: int):
     return run
 
 
+def _each(batches):
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+        sizes = np.array([len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), sizes))),
+                                          pa.array(np.concatenate(sets))], ["id", "s"])
+
+
 def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], scratch: C.Scratch,
                  percent: int) -> DataFrame:
     """Classes of equal sets and components of verified near-equal classes.
@@ -103,20 +141,26 @@ def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], sc
 
     * Units with equal sets collapse to one class first (a partial minimum), so a
       hot group of copies is one vertex.
-    * In a bucket every class is verified against the bucket's least class: a star, not all pairs.
-    * A bucket whose classes then lie in one component is done. The others go on in
-      rounds: a growing range of pivots is verified against later classes of
-      *other* components until no bucket has a pivot left. Nothing is capped, and a
-      pair is left out only if its classes are linked already.
+    * In a bucket every class is verified against the bucket's most central class (the one
+      with most company in all its buckets): a star, not all pairs.
+    * A bucket whose classes then lie in one component is done. In the others, a class needs enough shingles that
+      any other open class has too; a group of texts that each differ by their own edits ends here.
+    * What is left of a bucket meets in blocks, so a large bucket is spread over tasks; pairs of different
+      components whose sketches agree enough are verified. Nothing is capped, and a pair is left out
+      only if its classes are linked already, cannot be, or (as with buckets, at a stated chance) differ
+      in too many coordinates.
     """
     filled = signed.filter("n_shingles > 0")
-    classes = filled.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep"))
-    member = scratch.save(filled.select("id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"])
+    classes = filled.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    member = scratch.save(filled.select("id", "k1", "k2", "n_shingles").join(classes.drop("bands"), ["k1", "k2", "n_shingles"])
                           .select("id", "rep").distinct(), "member")
-    reps = filled.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    cells = reps.select("rep", "n_shingles", F.explode("bands").alias("cell"))
-    hubs = cells.groupBy("cell").agg(F.min(F.struct("rep", "n_shingles")).alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    live = scratch.save(cells.join(hubs.select("cell", "hub"), "cell"), "live")
+    cells = classes.select("rep", "n_shingles", F.explode("bands").alias("cell"))
+    shared_cells = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("company")).filter("company > 1")
+    live = scratch.save(cells.join(shared_cells, "cell"), "live")
+    central = live.groupBy("rep").agg(F.sum("company").alias("pull"))
+    live = scratch.save(live.drop("company").join(central, "rep"), "pulled")
+    scratch.drop("live")
+    hubs = live.groupBy("cell").agg(F.max(F.struct("pull", "rep", "n_shingles")).alias("hub"))
     sets = scratch.save(set_of(live.select(F.col("rep").alias("id")).distinct()), "sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -130,32 +174,44 @@ def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], sc
     def may(n: Column, m: Column) -> Column:
         return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-    first = live.filter(F.col("rep") > F.col("hub.rep")).filter(may(F.col("n_shingles"), F.col("hub.n_shingles")))
-    links = verified(first.select(F.col("hub.rep").alias("u"), F.col("rep").alias("v")).distinct(), "links-0")
+    first = live.join(hubs, "cell").filter(F.col("rep") != F.col("hub.rep")).filter(may(F.col("n_shingles"), F.col("hub.n_shingles")))
+    links = verified(first.select(F.least("hub.rep", "rep").alias("u"), F.greatest("hub.rep", "rep").alias("v")).distinct(), "links-0")
     several = member.groupBy("id").agg(F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u < top")
     links = links.unionByName(member.join(several, "id").filter("rep > u").select("u", F.col("rep").alias("v")))
     root = components(links, scratch, "cc-0")
-    done, width, k = 0, 16, 0
-    while True:
-        placed = live.join(root.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "cell", "rep", "n_shingles", F.coalesce("root", "rep").alias("root"))
-        mixed = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")) \
-            .filter(F.col("lo") < F.col("hi")).filter(F.col("size") > done + 1).select("cell")
-        open_ = scratch.save(placed.join(mixed, "cell").withColumn(
-            "at", F.row_number().over(Window.partitionBy("cell").orderBy("rep"))), f"open-{k}")
-        if open_.isEmpty():
-            scratch.drop(f"open-{k}")
-            break
-        pivots = open_.filter((F.col("at") > done) & (F.col("at") <= done + width)).select(
-            "cell", F.col("at").alias("p_at"), F.col("rep").alias("u"), F.col("root").alias("p_root"), F.col("n_shingles").alias("p_n"))
-        pairs = open_.join(pivots, "cell").filter("at > p_at and root <> p_root").filter(may(F.col("n_shingles"), F.col("p_n"))) \
-            .select("u", F.col("rep").alias("v")).distinct()
-        more = verified(pairs, f"links-{k + 1}")
-        scratch.drop(f"open-{k}")
-        done, width, k = done + width, width * 4, k + 1
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            root = components(links, scratch, f"cc-{k}")
-    scratch.drop("live", "sets")
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """Rows of buckets with more than one component left."""
+        keep = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") < F.col("hi")).select("cell")
+        return rows.join(keep, "cell")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.drop("root").join(root.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+    open_ = scratch.save(mixed(placed(live)), "open")
+    with C.small_batches(scratch.spark, 500):
+        each = scratch.save(sets.join(open_.select(F.col("rep").alias("id")).distinct(), "id").mapInArrow(
+            _each, f"id {sets.schema['id'].dataType.simpleString()}, s long"), "each")
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s")
+    company = each.join(common, "s").groupBy("id").agg(F.count(F.lit(1)).alias("held")).withColumnRenamed("id", "rep")
+    # |x & y| * (100 + percent) >= percent * (|x| + |y|), and |x & y| <= held(x)
+    least = open_.groupBy("cell").agg(F.min("n_shingles").alias("smallest"))
+    able = open_.join(company, "rep").join(least, "cell").filter(
+        F.col("held") * (100 + percent) >= (F.col("n_shingles") + F.col("smallest")) * percent).drop("smallest")
+    bits = signed.select(F.col("id").alias("rep"), "sketch").distinct()
+    todo = scratch.save(mixed(able).join(bits, "rep").withColumn(
+        "block", F.floor((F.row_number().over(Window.partitionBy("cell").orderBy("rep")) - 1) / F.lit(BLOCK)).cast("int")), "todo")
+    scratch.drop("open", "each", "pulled")
+    pivots = todo.select("cell", "block", F.col("rep").alias("u"), F.col("root").alias("p_root"),
+                         F.col("n_shingles").alias("p_n"), F.col("held").alias("p_held"), F.col("sketch").alias("p_sketch"))
+    enough = F.least("held", "p_held") * (100 + percent) >= (F.col("n_shingles") + F.col("p_n")) * percent
+    met = todo.withColumn("block", F.explode(F.sequence(F.lit(0), "block"))).join(pivots, ["cell", "block"])
+    pairs = met.filter("rep > u and root <> p_root").filter(
+        may(F.col("n_shingles"), F.col("p_n")) & enough & may_agree(F.col("sketch"), F.col("p_sketch"), SKETCH, percent)) \
+        .select("u", F.col("rep").alias("v")).distinct()
+    more = verified(pairs, "links-1")
+    if not more.isEmpty():
+        root = components(root.select(F.col("id").alias("u"), F.col("root").alias("v")).unionByName(more), scratch, "cc-1")
+    scratch.drop("sets")
     return member.join(root.withColumnRenamed("id", "rep"), "rep", "left") \
         .groupBy("id").agg(F.min(F.coalesce("root", "rep")).alias("root"))

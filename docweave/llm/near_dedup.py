@@ -26,7 +26,7 @@ def _sign(width: int, bands: int, rows: int):
     def run(batches):
         for part, buf, off in C.text_blocks(batches, "text"):
             yield pa.RecordBatch.from_arrays([part.column(0), *M.signed_columns(*text_sets(buf, off, width), bands, rows)],
-                                             ["id", "n_shingles", "k1", "k2", "bands"])
+                                             ["id", *M.SIGNED_NAMES])
     return run
 
 

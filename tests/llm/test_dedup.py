@@ -169,7 +169,7 @@ def solved_here(S, texts):
     batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()), pa.array([r[2] for r in rows]),
                                         pa.array([r[3] for r in rows], pa.list_(pa.binary()))], ["id", "uid", "text", "spots"])
     contexts = pa.Table.from_batches(list(S._emit_contexts(S.LENGTH, S.GRAM, 3)([batch]))).sort_by("bucket").to_batches()
-    for out in S._solve_buckets(S.LENGTH)(contexts):
+    for out in S._solve_buckets(S.LENGTH, S.GRAM)(contexts):
         for doc, spans in zip(out.column(0).to_pylist(), out.column(2).to_pylist()):
             for a, b in merge_spans([spans]).tolist():
                 gone[doc][a:b] = True
