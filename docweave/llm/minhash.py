@@ -61,7 +61,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 SIGNED = "n_shingles long, k1 long, k2 long, bands array<long>, sketch array<long>"
 SIGNED_NAMES = ["n_shingles", "k1", "k2", "bands", "sketch"]
 #: Bits of a coordinate that a sketch keeps, coordinates of a sketch, and classes of a bucket's block.
-PLANES, SKETCH, BLOCK = 4, 128, 2000
+PLANES, SKETCH, BLOCK = 4, 256, 2000
 
 
 def sketches(signatures: np.ndarray) -> np.ndarray:
@@ -198,16 +198,18 @@ def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], sc
     least = open_.groupBy("cell").agg(F.min("n_shingles").alias("smallest"))
     able = open_.join(company, "rep").join(least, "cell").filter(
         F.col("held") * (100 + percent) >= (F.col("n_shingles") + F.col("smallest")) * percent).drop("smallest")
-    bits = signed.select(F.col("id").alias("rep"), "sketch").distinct()
+    bits = signed.select(F.col("id").alias("rep"), "sketch", "bands").distinct()
     todo = scratch.save(mixed(able).join(bits, "rep").withColumn(
         "block", F.floor((F.row_number().over(Window.partitionBy("cell").orderBy("rep")) - 1) / F.lit(BLOCK)).cast("int")), "todo")
     scratch.drop("open", "each", "pulled")
     pivots = todo.select("cell", "block", F.col("rep").alias("u"), F.col("root").alias("p_root"),
-                         F.col("n_shingles").alias("p_n"), F.col("held").alias("p_held"), F.col("sketch").alias("p_sketch"))
+                         F.col("n_shingles").alias("p_n"), F.col("held").alias("p_held"), F.col("sketch").alias("p_sketch"), F.col("bands").alias("p_bands"))
+    # a pair that shares several buckets is handled in the least of them
+    least = F.col("cell") == F.array_min(F.array_intersect("bands", "p_bands"))
     enough = F.least("held", "p_held") * (100 + percent) >= (F.col("n_shingles") + F.col("p_n")) * percent
     met = todo.withColumn("block", F.explode(F.sequence(F.lit(0), "block"))).join(pivots, ["cell", "block"])
     pairs = met.filter("rep > u and root <> p_root").filter(
-        may(F.col("n_shingles"), F.col("p_n")) & enough & may_agree(F.col("sketch"), F.col("p_sketch"), SKETCH, percent)) \
+        may(F.col("n_shingles"), F.col("p_n")) & enough & may_agree(F.col("sketch"), F.col("p_sketch"), SKETCH, percent) & least) \
         .select("u", F.col("rep").alias("v")).distinct()
     more = verified(pairs, "links-1")
     if not more.isEmpty():
