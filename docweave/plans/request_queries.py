@@ -141,30 +141,49 @@ fl0 AS (
   SELECT doc_id, rel_path, CAST(unnest(range(len(a))) AS BIGINT) AS ord, unnest(a) AS line
   FROM (SELECT doc_id, rel_path, string_split({b}, chr(10)) AS a FROM fmd3)
 ),
+fla AS (
+  SELECT *, regexp_matches(line, {S.q(FM.KEY_LINE_RE)}) AS is_key,
+         regexp_matches(line, {S.q(FM.CONTINUED_RE)}) AS continued, regexp_matches(line, {S.q(FM.IDLE_RE)}) AS idle FROM fl0
+),
+flb AS (SELECT *, sum(CASE WHEN is_key THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ord) AS no FROM fla),
+flc AS (SELECT *, bool_or(NOT (is_key OR (continued AND (no > 0 OR idle)))) OVER (PARTITION BY doc_id) AS bad FROM flb),
+fld AS (
+  SELECT doc_id, rel_path, bad, CASE WHEN bad THEN 1 ELSE no END AS no, min(ord) AS ord, bool_or(NOT is_key AND NOT idle) AS more,
+         string_agg(line, chr(10) ORDER BY ord) AS entry, arg_min(line, ord) AS head
+  FROM flc WHERE bad OR no > 0 GROUP BY ALL
+),
 fl1 AS (
-  SELECT doc_id, rel_path, ord, regexp_extract(line, {S.q(FM.KEY_LINE_RE)}, 1) AS key,
-         {S.strip(f"regexp_extract(line, {S.q(FM.KEY_LINE_RE)}, 2)")} AS raw
-  FROM fl0 WHERE regexp_matches(line, {S.q(FM.KEY_LINE_RE)})
+  SELECT doc_id, rel_path, ord, bad, more, entry,
+         CASE WHEN bad THEN '' ELSE regexp_extract(head, {S.q(FM.KEY_LINE_RE)}, 1) END AS key,
+         CASE WHEN bad THEN '' ELSE {S.strip(f"regexp_extract(head, {S.q(FM.KEY_LINE_RE)}, 2)")} END AS raw
+  FROM fld
 ),
 fl2 AS (
-  SELECT doc_id, rel_path, CAST(min(ord) OVER (PARTITION BY doc_id, key) AS BIGINT) AS ord0, key, raw,
-         row_number() OVER (PARTITION BY doc_id, key ORDER BY ord DESC) AS rn
+  SELECT *, CAST(min(ord) OVER (PARTITION BY doc_id, key) AS BIGINT) AS ord0,
+         row_number() OVER (PARTITION BY doc_id, key ORDER BY ord DESC) AS rn,
+         CASE WHEN regexp_matches(raw, {S.q(FM.QUOTE_RE)}) THEN raw ELSE regexp_replace(raw, {S.q(FM.COMMENT_RE)}, '') END AS plain
   FROM fl1
 ),
 fields AS (
-  SELECT doc_id, rel_path, ord0 AS ord, key, raw,
-    CASE WHEN regexp_matches(raw, {S.q(FM.NULL_RE)}) THEN 'null'
-         WHEN regexp_matches(raw, {S.q(FM.DQ_RE)}) OR regexp_matches(raw, {S.q(FM.SQ_RE)}) THEN 'string'
-         WHEN regexp_matches(raw, {S.q(FM.INT_RE)}) THEN 'int'
-         WHEN regexp_matches(raw, {S.q(FM.FLOAT_RE)}) THEN 'float'
-         WHEN regexp_matches(raw, {S.q(FM.BOOL_RE)}) THEN 'bool'
-         WHEN regexp_matches(raw, {S.q(FM.DATE_RE)}) THEN 'date'
-         WHEN starts_with(raw, '[') OR starts_with(raw, '{{') OR starts_with(raw, '|') OR starts_with(raw, '>')
-           OR starts_with(raw, '&') OR starts_with(raw, '*') OR starts_with(raw, '!') THEN 'other'
+  SELECT doc_id, rel_path, ord0 AS ord, key, raw, entry,
+    CASE WHEN bad THEN 'block' WHEN more THEN 'other'
+         WHEN regexp_matches(plain, {S.q(FM.NULL_RE)}) THEN 'null'
+         WHEN regexp_matches(plain, {S.q(FM.DQ_RE)}) THEN
+           CASE WHEN contains(regexp_replace(regexp_extract(plain, {S.q(FM.DQ_RE)}, 1), {S.q(FM.ESCAPE_RE)}, '', 'g'), '\\')
+                THEN 'other' ELSE 'string' END
+         WHEN regexp_matches(plain, {S.q(FM.SQ_RE)}) THEN 'string'
+         WHEN regexp_matches(plain, {S.q(FM.QUOTE_RE)}) THEN 'other'
+         WHEN regexp_matches(plain, {S.q(FM.INT_RE)}) THEN 'int'
+         WHEN regexp_matches(plain, {S.q(FM.FLOAT_RE)}) THEN 'float'
+         WHEN regexp_matches(plain, {S.q(FM.BOOL_RE)}) THEN 'bool'
+         WHEN regexp_matches(plain, {S.q(FM.DATE_RE)}) THEN 'date'
+         WHEN starts_with(plain, '[') OR starts_with(plain, '{{') OR starts_with(plain, '|') OR starts_with(plain, '>')
+           OR starts_with(plain, '&') OR starts_with(plain, '*') OR starts_with(plain, '!') THEN 'other'
          ELSE 'string' END AS kind,
-    CASE WHEN regexp_matches(raw, {S.q(FM.DQ_RE)}) THEN regexp_extract(raw, {S.q(FM.DQ_RE)}, 1)
-         WHEN regexp_matches(raw, {S.q(FM.SQ_RE)}) THEN replace(regexp_extract(raw, {S.q(FM.SQ_RE)}, 1), '''''', '''')
-         ELSE raw END AS value
+    CASE WHEN regexp_matches(plain, {S.q(FM.DQ_RE)})
+           THEN regexp_replace(regexp_extract(plain, {S.q(FM.DQ_RE)}, 1), {S.q(FM.ESCAPE_RE)}, '\\1', 'g')
+         WHEN regexp_matches(plain, {S.q(FM.SQ_RE)}) THEN replace(regexp_extract(plain, {S.q(FM.SQ_RE)}, 1), '''''', '''')
+         ELSE plain END AS value
   FROM fl2 WHERE rn = 1
 ),
 fields2 AS (SELECT *, kind = 'string' AND {S.strip('value')} <> '' AS translatable FROM fields)"""
@@ -250,10 +269,10 @@ def _yaml_scalar_sql(v: str, kind: str) -> str:
 
 
 @register("frontmatter_rebuilt", "PRJ-7,PRJ-4", sql=f"""WITH {S.prepared_cte()}, {_fm_fields_sql()},
-nv AS (SELECT doc_id, ord, key, kind,
+nv AS (SELECT doc_id, ord, key, kind, entry,
               CASE WHEN translatable THEN {_clean_sql(_FM_REPLY_SQL)} ELSE value END AS new_value FROM fields2)
-SELECT doc_id, '---' || chr(10) || string_agg(key || ': ' || {_yaml_scalar_sql('new_value', 'kind')} || chr(10), ''
-        ORDER BY ord) || '---' AS frontmatter
+SELECT doc_id, '---' || chr(10) || string_agg(CASE WHEN kind IN ('other', 'block') THEN entry
+        ELSE key || ': ' || {_yaml_scalar_sql('new_value', 'kind')} END || chr(10), '' ORDER BY ord) || '---' AS frontmatter
 FROM nv GROUP BY doc_id
 """)
 def q_frontmatter_rebuilt(spark, sf_dir):

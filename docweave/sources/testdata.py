@@ -12,15 +12,21 @@ from docweave.session import read_table
 
 # Markdown view over ``documents``: with line number i from 0, first match wins:
 # i%5=4 empty line, i%17=6 a fence line, i%3=0 a header of level 1+(doc_id+i)%3,
-# i%7=3 a list item, else the line. doc_id%3=0 adds frontmatter, doc_id%5=0 a
-# LOCAL TEXT block after it.
+# i%7=3 a list item, else the line. doc_id%3=0 adds frontmatter (whole first line as
+# title; doc_id%2=0: also a list, a map, a block scalar with the whole last line, a
+# comment, escapes and a non-ASCII key), doc_id%5=0 a LOCAL TEXT block after it.
 MD_EXPR = r"""concat(
- CASE WHEN doc_id%3=0 THEN concat('---\ntitle: ', substring(split(text,'\n',-1)[0],1,30), '\nlang: ', lang, '\n---\n\n') ELSE '' END,
+ CASE WHEN doc_id%3=0 THEN concat('---\ntitle: ', split(text,'\n',-1)[0], '\nlang: ', lang, '\n',
+   CASE WHEN doc_id%2=0 THEN concat('tags:\n- alpha\n- beta\nsummary: >\n  ', element_at(split(text,'\n',-1), -1),
+     '\nавтор: Иван  # note\nquoted: "a \\"q\\" b"\nnested:\n  k: v\n') ELSE '' END, '---\n\n') ELSE '' END,
  CASE WHEN doc_id%5=0 THEN concat('{/* LOCAL TEXT START */}\nnote ', doc_id, '\n{/* Local Text End */}') ELSE '' END,
  array_join(transform(split(text,'\n',-1), (l,i) -> CASE WHEN i%5=4 THEN '' WHEN i%17=6 THEN '```'
    WHEN i%3=0 THEN concat(repeat('#', CAST(1+(doc_id+i)%3 AS INT)),' ',l) WHEN i%7=3 THEN concat('- ',l) ELSE l END), '\n'))"""
 
-MD_SQL = r"""(CASE WHEN doc_id%3=0 THEN '---'||chr(10)||'title: '||substr(string_split(text,chr(10))[1],1,30)||chr(10)||'lang: '||lang||chr(10)||'---'||chr(10)||chr(10) ELSE '' END)
+MD_SQL = r"""(CASE WHEN doc_id%3=0 THEN '---'||chr(10)||'title: '||string_split(text,chr(10))[1]||chr(10)||'lang: '||lang||chr(10)||
+ (CASE WHEN doc_id%2=0 THEN 'tags:'||chr(10)||'- alpha'||chr(10)||'- beta'||chr(10)||'summary: >'||chr(10)||'  '||string_split(text,chr(10))[-1]
+   ||chr(10)||'автор: Иван  # note'||chr(10)||'quoted: "a \"q\" b"'||chr(10)||'nested:'||chr(10)||'  k: v'||chr(10) ELSE '' END)
+ ||'---'||chr(10)||chr(10) ELSE '' END)
 ||(CASE WHEN doc_id%5=0 THEN '{/* LOCAL TEXT START */}'||chr(10)||'note '||doc_id||chr(10)||'{/* Local Text End */}' ELSE '' END)
 ||array_to_string(list_transform(string_split(text,chr(10)), lambda l, i: CASE WHEN (i-1)%5=4 THEN '' WHEN (i-1)%17=6 THEN '```'
    WHEN (i-1)%3=0 THEN repeat('#', CAST(1+(doc_id+i-1)%3 AS INT))||' '||l WHEN (i-1)%7=3 THEN '- '||l ELSE l END), chr(10))"""
@@ -152,7 +158,7 @@ def responses_for(parts_fanned: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Simulated validation replies per conversation pair, by (conv_id + turn) % 9.
+# Simulated validation replies per conversation pair (whole texts), by (conv_id + turn) % 9.
 VREASONS = ("термин переведён не по глоссарию", "glossary term is wrong", "смысл искажён")
 
 VREPLY_SPARK = """CASE (conv_id + turn) % 9
@@ -160,12 +166,12 @@ VREPLY_SPARK = """CASE (conv_id + turn) % 9
   WHEN 1 THEN '[]'
   WHEN 2 THEN '{}'
   WHEN 3 THEN '{"issues": null}'
-  WHEN 4 THEN concat('{"issues": [', to_json(named_struct('original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)), ', {"original": null, "translated": "abc", "reason": "x"}]}')
-  WHEN 5 THEN concat('{"issues": [', to_json(named_struct('original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)), ', 5]}')
-  WHEN 6 THEN concat('{"issues": [', to_json(named_struct('translated', substring(translated, 1, 40), 'reason', vr)), ']}')
-  ELSE concat('{"issues": [', to_json(named_struct('file_path', 'x.md', 'original', substring(original, 1, 40), 'translated', substring(translated, 1, 40), 'reason', vr)),
-              ', ', to_json(named_struct('original', substring(original, 41, 2), 'translated', substring(translated, 41, 40), 'reason', 'short original')),
-              ', ', to_json(named_struct('original', substring(original, 81, 30), 'translated', substring(translated, 81, 30), 'reason', vr)), ']}')
+  WHEN 4 THEN concat('{"issues": [', to_json(named_struct('original', original, 'translated', translated, 'reason', vr)), ', {"original": null, "translated": "abc", "reason": "x"}]}')
+  WHEN 5 THEN concat('{"issues": [', to_json(named_struct('original', original, 'translated', translated, 'reason', vr)), ', 5]}')
+  WHEN 6 THEN concat('{"issues": [', to_json(named_struct('translated', translated, 'reason', vr)), ']}')
+  ELSE concat('{"issues": [', to_json(named_struct('file_path', 'x.md', 'original', original, 'translated', translated, 'reason', vr)),
+              ', ', to_json(named_struct('original', CAST(turn % 10 AS STRING), 'translated', translated, 'reason', 'short original')),
+              ', ', to_json(named_struct('original', translated, 'translated', original, 'reason', vr)), ']}')
 END"""
 
 VREPLY_SQL = """CASE (conv_id + turn) % 9
@@ -173,12 +179,12 @@ VREPLY_SQL = """CASE (conv_id + turn) % 9
   WHEN 1 THEN '[]'
   WHEN 2 THEN '{}'
   WHEN 3 THEN '{"issues": null}'
-  WHEN 4 THEN '{"issues": [' || to_json(struct_pack(original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr)) || ', {"original": null, "translated": "abc", "reason": "x"}]}'
-  WHEN 5 THEN '{"issues": [' || to_json(struct_pack(original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr)) || ', 5]}'
-  WHEN 6 THEN '{"issues": [' || to_json(struct_pack(translated := substr(translated, 1, 40), reason := vr)) || ']}'
-  ELSE '{"issues": [' || to_json(struct_pack(file_path := 'x.md', original := substr(original, 1, 40), translated := substr(translated, 1, 40), reason := vr))
-       || ', ' || to_json(struct_pack(original := substr(original, 41, 2), translated := substr(translated, 41, 40), reason := 'short original'))
-       || ', ' || to_json(struct_pack(original := substr(original, 81, 30), translated := substr(translated, 81, 30), reason := vr)) || ']}'
+  WHEN 4 THEN '{"issues": [' || to_json(struct_pack(original := original, translated := translated, reason := vr)) || ', {"original": null, "translated": "abc", "reason": "x"}]}'
+  WHEN 5 THEN '{"issues": [' || to_json(struct_pack(original := original, translated := translated, reason := vr)) || ', 5]}'
+  WHEN 6 THEN '{"issues": [' || to_json(struct_pack(translated := translated, reason := vr)) || ']}'
+  ELSE '{"issues": [' || to_json(struct_pack(file_path := 'x.md', original := original, translated := translated, reason := vr))
+       || ', ' || to_json(struct_pack(original := CAST(turn % 10 AS VARCHAR), translated := translated, reason := 'short original'))
+       || ', ' || to_json(struct_pack(original := translated, translated := original, reason := vr)) || ']}'
 END"""
 
 VR_SPARK = "element_at(array({}), CAST(conv_id % 3 + 1 AS INT))".format(", ".join("'" + r + "'" for r in VREASONS))
