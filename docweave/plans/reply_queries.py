@@ -9,7 +9,7 @@ from docweave.functions import text as T
 from docweave.operators import markdown as M
 from docweave.operators import responses as RS
 from docweave.operators import validation as V
-from docweave.operators.pairs import pair_translations
+from docweave.operators.pairs import pair_outputs
 from docweave.operators.routing import BINARY_PROBE_BYTES, CUT_1, CUT_2, CUT_3, is_binary, route
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
@@ -353,11 +353,11 @@ def q_structure_parity(spark, sf_dir):
 
 
 @register("glossary_violations", "QA-2", sql=f"""WITH {S.glossary_cte()},
-p AS (SELECT t.rel_path, t.lang, o.original, t.translated FROM ({D.TRANSLATIONS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)
+p AS (SELECT t.rel_path, t.lang, o.original, t.translated FROM ({D.OUTPUTS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)
 SELECT p.rel_path, p.lang, count(g.term) AS n_violations, coalesce(string_agg(g.term, ',' ORDER BY g.ord), '') AS terms
 FROM p LEFT JOIN g ON g.lang = p.lang AND contains(lower(p.original), lower(g.term)) AND NOT contains(lower(p.translated), lower(g.translation))
 GROUP BY p.rel_path, p.lang
 """)
 def q_glossary_violations(spark, sf_dir):
-    pairs = pair_translations(D.originals(spark, sf_dir), D.translations(spark, sf_dir))
+    pairs = pair_outputs(D.originals(spark, sf_dir), D.outputs(spark, sf_dir))
     return V.glossary_violations(pairs.select("rel_path", "lang", "original", "translated"), GL)

@@ -10,7 +10,7 @@ from docweave.operators import glossary as G
 from docweave.operators import markdown as M
 from docweave.operators import memory as MEM
 from docweave.operators import requests as R
-from docweave.operators.pairs import pair_translations
+from docweave.operators.pairs import pair_outputs
 from docweave.operators.routing import output_paths
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
@@ -95,13 +95,13 @@ FROM (
   LEFT JOIN eb ON eb.doc_id = p.doc_id AND eb.part_no = p.part_no AND eb.lang = l.lang)"""
 
 
-@register("translation_requests", "REQ-1,SNK-5,AGG-7,PRJ-10,SRC-4,JOIN-4", sql=f"""{_PARTS_WITH},
+@register("body_requests", "REQ-1,SNK-5,AGG-7,PRJ-10,SRC-4,JOIN-4", sql=f"""{_PARTS_WITH},
 {S.gblock_cte()}, {S.memory_cte(D.ISSUES_SQL)}, {S.earlier_cte()}
 {_req_sql_select()}
 """)
-def q_translation_requests(spark, sf_dir):
+def q_body_requests(spark, sf_dir):
     parts = with_earlier(spark, sf_dir)
-    return (R.translation_requests(parts, spark, TARGETS, TEST_LANGUAGES, GL, D.issues(spark, sf_dir))
+    return (R.body_requests(parts, spark, TARGETS, TEST_LANGUAGES, GL, D.issues(spark, sf_dir))
             .select("request_id", "kind", "rel_path", "lang", "part_no", "field", "system_prompt",
                     "user_prompt", "cache_key"))
 
@@ -115,7 +115,7 @@ SELECT lang, count(*) AS n_requests, count(DISTINCT cache_key) AS n_unique,
 FROM reqs GROUP BY lang
 """)
 def q_request_dedup(spark, sf_dir):
-    r = q_translation_requests(spark, sf_dir)
+    r = q_body_requests(spark, sf_dir)
     return (r.groupBy("lang").agg(F.count("*").alias("n_requests"),
                                   F.countDistinct("cache_key").alias("n_unique"))
             .withColumn("n_saved", F.col("n_requests") - F.col("n_unique")))
@@ -298,12 +298,12 @@ def q_output_paths(spark, sf_dir):
 
 
 # --- JOIN-1 -----------------------------------------------------------------
-@register("translation_pairs", "JOIN-1,SRC-2", sql=f"""
+@register("output_pairs", "JOIN-1,SRC-2", sql=f"""
 SELECT t.rel_path, t.lang, o.original, t.translated
-FROM ({D.TRANSLATIONS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path
+FROM ({D.OUTPUTS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path
 """)
-def q_translation_pairs(spark, sf_dir):
-    return pair_translations(D.originals(spark, sf_dir), D.translations(spark, sf_dir)) \
+def q_output_pairs(spark, sf_dir):
+    return pair_outputs(D.originals(spark, sf_dir), D.outputs(spark, sf_dir)) \
         .select("rel_path", "lang", "original", "translated")
 
 
@@ -315,7 +315,7 @@ def _val_user_sql() -> str:
 
 
 @register("validation_requests", "REQ-3", sql=f"""WITH {S.glossary_cte()}, {S.langs_cte(TARGETS)}, {S.gblock_cte()},
-t AS (SELECT *, 'output/' || lang || '/' || rel_path AS file_path FROM ({D.TRANSLATIONS_SQL})),
+t AS (SELECT *, 'output/' || lang || '/' || rel_path AS file_path FROM ({D.OUTPUTS_SQL})),
 o AS ({D.ORIGINALS_SQL})
 SELECT request_id, kind, rel_path, lang, system_prompt, user_prompt,
        sha256(lang || chr(1) || system_prompt || chr(1) || user_prompt) AS cache_key
@@ -327,6 +327,6 @@ FROM (
   FROM t JOIN o ON o.rel_path = t.rel_path JOIN langs l ON l.lang = t.lang LEFT JOIN gb ON gb.lang = t.lang)
 """)
 def q_validation_requests(spark, sf_dir):
-    pairs = pair_translations(D.originals(spark, sf_dir), D.translations(spark, sf_dir))
+    pairs = pair_outputs(D.originals(spark, sf_dir), D.outputs(spark, sf_dir))
     pairs = pairs.withColumn("file_path", F.concat_ws("/", F.lit("output"), "lang", "rel_path"))
     return R.validation_requests(pairs, spark, TEST_LANGUAGES, GL, TARGETS)

@@ -118,7 +118,7 @@ def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", F.col("text").alias("original"))
 
 
-def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "conversations")
     return c.where(F.col("role") == "assistant").select(
         F.format_string("conv/%d/%d.md", "conv_id", F.col("turn") - 1).alias("rel_path"),
@@ -128,7 +128,7 @@ def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORIGINALS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn) AS rel_path, conv_id, turn, text AS original "
                  "FROM conversations WHERE role = 'user'")
-TRANSLATIONS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn - 1) AS rel_path, "
+OUTPUTS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn - 1) AS rel_path, "
                     "(CASE conv_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE 'zh' END) AS lang, "
                     "text AS translated FROM conversations WHERE role = 'assistant'")
 
@@ -194,7 +194,7 @@ VR_SQL = "([{}])[conv_id % 3 + 1]".format(", ".join("'" + r + "'" for r in VREAS
 def validation_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(rel_path, lang, file_path, content, prompt_tokens, completion_tokens)``
     one per validated pair."""
-    o, t = originals(spark, sf_dir), translations(spark, sf_dir)
+    o, t = originals(spark, sf_dir), outputs(spark, sf_dir)
     p = t.join(o, "rel_path").withColumn("vr", F.expr(VR_SPARK))
     return p.select("rel_path", "lang",
                     F.concat_ws("/", F.lit("output"), "lang", "rel_path").alias("file_path"),
@@ -208,7 +208,7 @@ VALIDATION_REPLIES_SQL = f"""SELECT rel_path, lang, 'output/' || lang || '/' ||
        CAST(floor(length(original) / 4) AS INT) AS prompt_tokens,
        CAST(floor(length(translated) / 4 + 7) AS INT) AS completion_tokens
 FROM (SELECT t.*, o.conv_id, o.turn, o.original, {VR_SQL} AS vr
-      FROM ({TRANSLATIONS_SQL}) t JOIN ({ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)"""
+      FROM ({OUTPUTS_SQL}) t JOIN ({ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)"""
 
 
 # ---------------------------------------------------------------------------
