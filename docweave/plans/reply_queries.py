@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as T
 from docweave.operators import markdown as M
+from docweave.operators import memory as MEM
 from docweave.operators import responses as RS
 from docweave.operators import validation as V
 from docweave.operators.pairs import pair_outputs
@@ -308,6 +309,25 @@ def q_validation_report(spark, sf_dir):
     return V.report(files, _kept(spark, sf_dir))
 
 
+@register("reply_issue_memory", "RSP-3,FLT-4,FLT-5,SET-2,SNK-4", sql=f"""WITH {_VAL_SQL},
+full_ AS (SELECT lang, file_path, pos, {S.strip('original')} AS original, {S.strip('translated')} AS translated,
+                 {S.strip('reason')} AS reason FROM kept),
+once AS (SELECT *, row_number() OVER (PARTITION BY lang, original, translated ORDER BY file_path, pos) AS rn
+         FROM full_ WHERE original <> '' AND translated <> '' AND reason <> ''),
+known AS (SELECT lang, max(seq) AS top FROM ({D.ISSUES_SQL}) GROUP BY lang)
+SELECT o.lang, CAST(coalesce(k.top, -1) + row_number() OVER (PARTITION BY o.lang ORDER BY o.file_path, o.pos) AS BIGINT) AS seq,
+       o.original, o.translated, o.reason
+FROM (SELECT * FROM once WHERE rn = 1) o LEFT JOIN known k ON k.lang = o.lang
+""")
+def q_reply_issue_memory(spark, sf_dir):
+    """Replies to memory rows: parse, filter, complete rows, exact de-dup in
+    reply order, numbers after those of the memory."""
+    rows = MEM.complete_for_memory(_kept(spark, sf_dir))
+    arrival = F.struct("file_path", "pos")
+    once = rows.groupBy("lang", "original", "translated").agg(F.min_by(F.struct("file_path", "pos", "reason"), arrival).alias("r"))
+    return MEM.append_memory(D.issues(spark, sf_dir), once.select("lang", "original", "translated", "r.*"), ["file_path", "pos"])
+
+
 @register("validation_token_stats", "AGG-6", sql=f"""WITH rep AS ({D.VALIDATION_REPLIES_SQL})
 SELECT lang, CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens, count(*) AS validated_files,
        sum(prompt_tokens + completion_tokens) / nullif(count(*), 0) AS avg_tokens
