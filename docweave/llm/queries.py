@@ -8,12 +8,12 @@ from docweave.llm.language_id import op9_language_id
 from docweave.llm.licenses import op6_license_scan
 from docweave.llm.near_dedup import op8_minhash_near_dedup
 from docweave.llm.packing import op1_packing
-from docweave.llm.paragraph_dedup import op3_paragraph_dedup
+from docweave.llm.paragraph_dedup import op3_paragraph_dedup, op3_repeated_passages
 from docweave.llm.quality import op2_quality_rules
 from docweave.llm.sharding import op5_sharding
 from docweave.llm.substring_dedup import op4_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_quality_rules, op3_paragraph_dedup, op4_suffix_array_dedup, op5_sharding, op6_license_scan,
+    op1_packing, op2_quality_rules, op3_paragraph_dedup, op3_repeated_passages, op4_suffix_array_dedup, op5_sharding, op6_license_scan,
     op7_decontamination, op8_minhash_near_dedup, op9_language_id, op10_chat_formatting)}
 ORACLES = {"op10_chat_formatting": ORACLE_OP10}
