@@ -29,8 +29,8 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
         ship_package(spark)
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}", compression=compression)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

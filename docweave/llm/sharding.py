@@ -75,7 +75,7 @@ def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_
     """
     scratch = C.Scratch(rows.sparkSession, "shards")
     cols = [c for c in rows.columns if c not in ("shard", "slot")]
-    placed = scratch.save(rows.select(*cols, F.spark_partition_id().alias("_from"), F.monotonically_increasing_id().alias("_place")), "placed")
+    placed = scratch.save(rows.select(*cols, F.spark_partition_id().alias("_from"), F.monotonically_increasing_id().alias("_place")), "placed", "zstd")
     counts = sorted((r["_from"], r["n"]) for r in placed.groupBy("_from").agg(F.count(F.lit(1)).alias("n")).collect())
     if not counts:
         return placed.select(*cols, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
@@ -87,7 +87,7 @@ def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_
         "shard", F.size(F.filter("_ends", lambda e: e < F.col("_rank"))).cast("int"))
     blocks = max(1, -(-sum(n for _, n in counts) // (shards * block_rows)))
     keyed = dealt.withColumn("_key", _random(seed + 1, F.col("_place"))).withColumn("_block", F.pmod("_key", F.lit(blocks)))
-    dealt = scratch.save(keyed.select(*cols, "shard", "_block", "_key", "_place"), "dealt")
+    dealt = scratch.save(keyed.select(*cols, "shard", "_block", "_key", "_place"), "dealt", "zstd")
     scratch.drop("placed")
     before = dealt.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("n")).select(
         "shard", "_block", (F.sum("n").over(Window.partitionBy("shard").orderBy("_block")) - F.col("n")).alias("_before"))
@@ -97,8 +97,8 @@ def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The documents sharded with their texts; ``size`` and ``text_crc32`` are those of the text in its shard."""
+    placed = shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    return shard(rows, 40).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                                  F.lit(None).cast("int").alias("grown_shard"))
+    return placed.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

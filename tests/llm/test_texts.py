@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docweave.llm import language_id, licenses, packing, quality, sharding
 from docweave.llm.chat import ORACLE_OP10, chat_examples, op10_chat_formatting, read_back
@@ -155,6 +156,17 @@ def test_sharding_whole_table(spark, small_dir, corpus):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "rows", None)
 
 
+def test_sharding_digests_are_of_the_placed_texts(spark, small_dir, corpus, monkeypatch):
+    plan = sharding.op5_sharding(spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "Relation [" in x and "_place" in x)
+    assert "text#" in scan
+    whole = sharding.shard
+    monkeypatch.setattr(sharding, "shard", lambda rows, n: whole(rows, n).withColumn("text", F.concat("text", F.lit("!"))))
+    for r in sharding.op5_sharding(spark, small_dir).collect():
+        data = corpus[1][r.doc_id].text
+        assert r.text_crc32 == zlib.crc32(b"" if data is None else (data + "!").encode())
+
+
 def test_sharding_awkward(awkward, clashing, empty, nameless):
     rows = sharding.shard(awkward, 7, block_rows=2).collect()
     check_shards(rows, 7)
