@@ -16,6 +16,8 @@ from docweave.session import read_table, ship_package
 #: Longest n-gram, length of a profile, documents per language that profiles are learned from (about; a hash
 #: threshold), languages that profiles may have (beyond it fit() fails: profiles go to every task).
 GRAMS, PROFILE, TRAIN_DOCS, MAX_LANGS = 3, 300, 4000, 2000
+#: A language's score bound: SLACK times the score that all but REJECT of its learned texts reach.
+REJECT, SLACK = 0.001, 0.75
 
 
 @lru_cache(maxsize=1)
@@ -84,6 +86,13 @@ def _count(grams: int):
     return run
 
 
+def _sample(labelled: DataFrame, train_docs: int) -> DataFrame:
+    rows = labelled.filter("text is not null and lang is not null")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    share = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_000)) * F.col("size") < F.lit(train_docs * 1_000_000)
+    return rows.join(sizes, "lang").filter(share).select("id", "text", "lang")
+
+
 def fit(labelled: DataFrame, grams: int = GRAMS, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> list[tuple[str, list[int]]]:
     """Profiles ``[(lang, grams by rank)]``, by language, from ``text, lang`` and an ``id`` that spreads the sample.
 
@@ -92,10 +101,7 @@ def fit(labelled: DataFrame, grams: int = GRAMS, profile: int = PROFILE, train_d
     ranking is cut per (language, salt) first, so a hot language does not meet in one task.
     """
     ship_package(labelled.sparkSession)
-    rows = labelled.filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    share = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_000)) * F.col("size") < F.lit(train_docs * 1_000_000)
-    sample = rows.join(sizes, "lang").filter(share).select("text", "lang")
+    sample = _sample(labelled, train_docs).select("text", "lang")
     counts = sample.mapInArrow(_count(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = [F.col("n").desc(), "gram"]
     first = counts.withColumn("salt", F.pmod("gram", F.lit(32))).withColumn(
@@ -153,15 +159,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def _labelled(docs: DataFrame) -> DataFrame:
+    return docs.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "text", "lang")
+
+
 def learn(docs: DataFrame) -> list[tuple[str, list[int]]]:
-    return fit(docs.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "text", "lang"))
+    return fit(_labelled(docs))
+
+
+def learn_bounds(docs: DataFrame, profiles: list[tuple[str, list[int]]], train_docs: int = TRAIN_DOCS) -> dict[str, float]:
+    """The least score of a text in each language, from the texts that profiles are learned from.
+
+    SLACK times the score that all but REJECT of the language's learned texts reach (as many as are identified as it), so at most
+    that share of them scores less. A language that no learned text is identified as has no bound.
+    """
+    if not profiles:
+        return {}
+    scored = identify(_sample(_labelled(docs), train_docs), profiles, "id").filter("lang_pred <> 'und'")
+    reach = scored.groupBy("lang_pred").agg(F.percentile_approx("score", REJECT, 100_000).alias("reach"))
+    return {r.lang_pred: SLACK * r.reach for r in reach.collect()}
 
 
-def keep_identified(docs: DataFrame, profiles: list[tuple[str, list[int]]]) -> DataFrame:
-    """``docs`` without the rows whose text has no language (``und``)."""
+def keep_identified(docs: DataFrame, profiles: list[tuple[str, list[int]]],
+                    bounds: dict[str, float] | None = None) -> DataFrame:
+    """``docs`` without the rows whose text has no letter (``und``) or scores less than the bound of its language.
+
+    Where no language was learned, every text with a letter stays.
+    """
     row = F.struct(*docs.columns)
     packed = docs.select(row.alias("doc_id"), "text")
-    return identify(packed, profiles).filter("lang_pred <> 'und'").select("id.*")
+    # a profile without a gram of any text: only letters count
+    known = identify(packed, profiles or [("any", [-1])]).filter("lang_pred <> 'und'")
+    if bounds:
+        least = F.create_map(*(F.lit(x) for pair in sorted(bounds.items()) for x in pair))
+        known = known.filter(F.col("score") >= F.coalesce(F.try_element_at(least, F.col("lang_pred")), F.lit(0.0)))
+    return known.select("id.*")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
