@@ -86,32 +86,43 @@ def _count(grams: int):
     return run
 
 
-def _sample(labelled: DataFrame, train_docs: int) -> DataFrame:
+def sample(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """About ``train_docs`` rows ``id, text, lang`` of each language, chosen by a hash of the id; null texts and langs are left out.
+
+    Rows are counted per language first (a language's rows are never brought together), and the shares go into the scan's filter.
+    """
     rows = labelled.filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    share = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_000)) * F.col("size") < F.lit(train_docs * 1_000_000)
-    return rows.join(sizes, "lang").filter(share).select("id", "text", "lang")
+    sizes = {r.lang: r.size for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).limit(MAX_LANGS + 1).collect()}
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    if not sizes:
+        return rows.select("id", "text", "lang").limit(0)
+    size = F.create_map(*(F.lit(x) for pair in sorted(sizes.items()) for x in pair))[F.col("lang")]
+    share = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_000)) * size < F.lit(train_docs * 1_000_000)
+    return rows.filter(share).select("id", "text", "lang")
 
 
 def fit(labelled: DataFrame, grams: int = GRAMS, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> list[tuple[str, list[int]]]:
-    """Profiles ``[(lang, grams by rank)]``, by language, from ``text, lang`` and an ``id`` that spreads the sample.
+    """Profiles ``[(lang, grams by rank)]``, by language, from a ``sample`` of ``text, lang`` and an ``id`` that spreads it."""
+    return fit_sample(sample(labelled, train_docs), grams, profile)
+
 
-    About ``train_docs`` documents per language are learned from (whole texts; all where there are no more), chosen by
-    a hash of the id. Rows with a null text or lang are left out. Counts are aggregated before they move, and the
-    ranking is cut per (language, salt) first, so a hot language does not meet in one task.
+def fit_sample(sampled: DataFrame, grams: int = GRAMS, profile: int = PROFILE) -> list[tuple[str, list[int]]]:
+    """Profiles learned from all of ``sampled`` (whole texts).
+
+    Counts are aggregated before they move, and the ranking is cut per (language, salt) first, so a hot language does
+    not meet in one task.
     """
-    ship_package(labelled.sparkSession)
-    sample = _sample(labelled, train_docs).select("text", "lang")
-    counts = sample.mapInArrow(_count(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ship_package(sampled.sparkSession)
+    sampled = sampled.select("text", "lang")
+    counts = sampled.mapInArrow(_count(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = [F.col("n").desc(), "gram"]
     first = counts.withColumn("salt", F.pmod("gram", F.lit(32))).withColumn(
         "r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best))).filter(F.col("r") <= profile)
     top = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("r") <= profile)
     found: dict[str, list[int]] = {}
-    for r in top.select("lang", "gram", "r").orderBy("lang", "r").limit(MAX_LANGS * profile + 1).collect():
+    for r in top.select("lang", "gram", "r").orderBy("lang", "r").collect():
         found.setdefault(r.lang, []).append(r.gram)
-    if len(found) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages to learn")
     return sorted(found.items())
 
 
@@ -167,33 +178,50 @@ def learn(docs: DataFrame) -> list[tuple[str, list[int]]]:
     return fit(_labelled(docs))
 
 
-def learn_bounds(docs: DataFrame, profiles: list[tuple[str, list[int]]], train_docs: int = TRAIN_DOCS) -> dict[str, float]:
-    """The least score of a text in each language, from the texts that profiles are learned from.
+def learn_bounds(sampled: DataFrame, profiles: list[tuple[str, list[int]]]) -> dict[str, float]:
+    """The least score of a text in each language, from the texts that profiles were learned from.
 
     SLACK times the score that all but REJECT of the language's learned texts reach (as many as are identified as it), so at most
     that share of them scores less. A language that no learned text is identified as has no bound.
     """
     if not profiles:
         return {}
-    scored = identify(_sample(_labelled(docs), train_docs), profiles, "id").filter("lang_pred <> 'und'")
+    scored = identify(sampled, profiles, "id").filter("lang_pred <> 'und'")
     reach = scored.groupBy("lang_pred").agg(F.percentile_approx("score", REJECT, 100_000).alias("reach"))
     return {r.lang_pred: SLACK * r.reach for r in reach.collect()}
 
 
+def learn_with_bounds(docs: DataFrame) -> tuple[list[tuple[str, list[int]]], dict[str, float]]:
+    """Profiles and score bounds of the languages of ``docs``; the sample is written once for both."""
+    scratch = C.Scratch(docs.sparkSession, "languages")
+    sampled = scratch.save(sample(_labelled(docs)), "sample")
+    profiles = fit_sample(sampled)
+    bounds = learn_bounds(sampled, profiles)
+    scratch.drop("sample")
+    return profiles, bounds
+
+
+def _keep(profiles: list[tuple[str, list[int]]], bounds: dict[str, float], at: int):
+    judge = _predict(profiles, GRAMS, PROFILE)
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], ["id", "text"])
+            kept = [lang != "und" and score >= bounds.get(lang, 0.0)
+                    for part in judge([texts]) for lang, score in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+    return run
+
+
 def keep_identified(docs: DataFrame, profiles: list[tuple[str, list[int]]],
-                    bounds: dict[str, float] | None = None) -> DataFrame:
+                    bounds: dict[str, float] | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has no letter (``und``) or scores less than the bound of its language.
 
-    Where no language was learned, every text with a letter stays.
+    Where no language was learned, every text with a letter stays. Batches are filtered as they pass: no row moves.
     """
-    row = F.struct(*docs.columns)
-    packed = docs.select(row.alias("doc_id"), "text")
+    ship_package(docs.sparkSession)
     # a profile without a gram of any text: only letters count
-    known = identify(packed, profiles or [("any", [-1])]).filter("lang_pred <> 'und'")
-    if bounds:
-        least = F.create_map(*(F.lit(x) for pair in sorted(bounds.items()) for x in pair))
-        known = known.filter(F.col("score") >= F.coalesce(F.try_element_at(least, F.col("lang_pred")), F.lit(0.0)))
-    return known.select("id.*")
+    return docs.mapInArrow(_keep(profiles or [("any", [-1])], bounds or {}, docs.columns.index(text_col)), docs.schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

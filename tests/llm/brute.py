@@ -116,3 +116,72 @@ def license_base(text, phrases):
 
 def is_held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def _mixed(x):
+    """A public 64-bit finaliser; the first 40 bits order equally frequent grams."""
+    m = (1 << 64) - 1
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & m
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & m
+    return (x ^ x >> 31) >> 24
+
+
+def gram_counts(text):
+    """Counter of n-grams (1 to 3) of lower-case letters; all else is a word edge."""
+    s = [0]
+    for c in text or "":
+        low = c.lower()
+        s.append((ord(low) if len(low) == 1 else ord(c)) if c.isalpha() else 0)
+    s.append(0)
+    out = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(s) - n + 1):
+            w = s[i:i + n]
+            if all(w[1:-1]) and (w[0] or w[-1]):
+                h = 0
+                for x in w:
+                    h = h * 0x110000 + x & (1 << 64) - 1
+                out[_mixed(h if n == 1 else (h + n) & (1 << 64) - 1)] += 1
+    return out
+
+
+def by_rank(counts, most=300):
+    return [g for g, _ in sorted(counts.items(), key=lambda p: (-p[1], p[0]))[:most]]
+
+
+def language_profiles(rows):
+    """[(doc_id, text, lang)] -> lang -> grams by rank, from the rows that aren't held out."""
+    per = {}
+    for doc_id, text, lang in rows:
+        if text is not None and lang is not None and not is_held_out(doc_id):
+            per.setdefault(lang, Counter()).update(gram_counts(text))
+    return {k: by_rank(c) for k, c in sorted(per.items())}
+
+
+def language_of(text, profiles):
+    """(language, score) by out-of-place distance."""
+    mine = by_rank(gram_counts(text))
+    if not mine or not profiles:
+        return "und", 0.0
+    best = None
+    for lang, theirs in profiles.items():
+        place = {g: i for i, g in enumerate(theirs)}
+        far = sum(abs(place[g] - i) if g in place else 300 for i, g in enumerate(mine))
+        best = min(best or (far, lang), (far, lang))
+    return best[1], 1 - best[0] / (300 * len(mine))
+
+
+def languages_kept(rows):
+    """Ids that the language stage keeps."""
+    profiles = language_profiles(rows)
+    judged = {d: language_of(t, profiles) for d, t, _ in rows}
+    if not profiles:
+        return {d for d, t, _ in rows if any(c.isalpha() for c in t or "")}
+    reach = {}
+    for d, t, lang in rows:
+        if t is not None and lang is not None and not is_held_out(d) and judged[d][0] != "und":
+            reach.setdefault(judged[d][0], []).append(judged[d][1])
+    bound = {k: 0.75 * sorted(v)[max(0, -(-len(v) // 1000) - 1)] for k, v in reach.items()}
+    return {d for d, (lang, score) in judged.items() if lang != "und" and score >= bound.get(lang, 0.0)}

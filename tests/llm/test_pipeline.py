@@ -1,13 +1,17 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from docweave.llm import language_id, packing
 from docweave.session import read_table
 from tests.llm import brute
+from tests.llm.conftest import SHARED
 from tests.llm.test_texts import plain_ids, check_pieces
 
 
 def brute_pipeline(spark, sf_dir):
-    docs = {r.doc_id: r.text for r in read_table(spark, sf_dir, "documents").collect()}
-    docs = {k: t for k, t in docs.items() if any(c.isalpha() for c in t or "")}
+    rows = [(r.doc_id, r.text, r.lang) for r in read_table(spark, sf_dir, "documents").collect()]
+    known = brute.languages_kept(rows)
+    docs = {k: t for k, t, _ in rows if k in known}
     root = brute.groups({k: brute.shingle_set(t) for k, t in docs.items()})
     docs = {k: t for k, t in sorted(docs.items()) if root[k] == k}
     seen, cut = set(), {}
@@ -38,6 +42,16 @@ def test_pipeline_against_brute_force(spark, small_dir):
     check_pieces(pieces, {k: plain_ids(t) for k, t in want.items()})
 
 
+def test_rows_without_an_id_are_deduplicated(spark, nameless, small_dir):
+    more = nameless.unionByName(spark.createDataFrame([(None, "Before it. " + SHARED[:200], "en", "s", 1)], nameless.schema)).withColumn("_no_id", F.lit(3))
+    out = corpus_pipeline.near_dedup(spark, more, small_dir)
+    assert out.columns == more.columns and out.schema["doc_id"].dataType == more.schema["doc_id"].dataType
+    assert sorted((r.doc_id is None, r.text or "") for r in out.collect()) == [(False, SHARED), (True, ""), (True, "Before it. " + SHARED[:200])]
+    cut = corpus_pipeline.suffix_dedup(spark, out, small_dir)
+    assert cut.columns == more.columns
+    assert sorted((r.doc_id is None, r.text or "", r._no_id) for r in cut.collect()) == [(False, SHARED, 3), (True, "", 3), (True, "Before it. ", 3)]
+
+
 def test_stages_keep_the_columns(spark, awkward, clashing, empty, small_dir):
     for name, stage in corpus_pipeline.STAGES:
         for df in (awkward, clashing, empty):

@@ -291,6 +291,20 @@ def test_language_held_out_accuracy(spark, small_dir, corpus):
     assert all(r.held_out == brute.is_held_out(r.doc_id) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_language_by_hand(spark, small_dir, corpus):
+    docs = corpus[1]
+    profiles = brute.language_profiles([(k, r.text, r.lang) for k, r in docs.items()])
+    for r in language_id.op9_language_id(spark, small_dir).collect():
+        lang, score = brute.language_of(docs[r.doc_id].text, profiles)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-9
+
+
+def test_sample_is_dealt_per_language(spark):
+    rows = spark.range(6000).selectExpr("id", "concat('text ', id) as text", "if(id < 5000, 'xx', if(id < 5999, 'yy', null)) as lang")
+    got = {r.lang: r["count"] for r in language_id.sample(rows, 1000).groupBy("lang").count().collect()}
+    assert got["yy"] == 999 and 900 < got["xx"] < 1100 and set(got) == {"xx", "yy"}
+
+
 def test_language_awkward(spark, awkward, clashing, empty, nameless):
     profiles = language_id.learn(awkward)
     for df in (awkward, clashing):
