@@ -6,16 +6,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.functions import text as T
+from docweave.operators import frontmatter as FM
 from docweave.operators import markdown as M
 from docweave.operators import memory as MEM
 from docweave.operators import responses as RS
 from docweave.operators import validation as V
+from docweave.operators.flow import target_blocks
 from docweave.operators.pairs import pair_outputs
 from docweave.operators.routing import BINARY_PROBE_BYTES, CUT_1, CUT_2, CUT_3, is_binary, route
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
+from docweave.plans.request_queries import FM_REPLY_SPARK, FM_REPLY_SQL, clean_field_sql, fm_fields_sql, yaml_scalar_sql
 from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
 from docweave.sources import testdata as D
+from docweave.session import materialize
 from docweave.sources.config import TEST_GLOSSARY
 
 GL = TEST_GLOSSARY
@@ -87,9 +91,13 @@ def body_requests(spark, sf_dir):
 
 
 def doc_frontmatter(spark, sf_dir):
-    """Frontmatter of translate-routed documents, once per target language."""
-    return (translate_docs(spark, sf_dir).select("rel_path", "frontmatter")
-            .withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS]))))
+    """Frontmatter of documents routed to the model, rebuilt per target language; no reply where doc_id % 11 = 0, an error where % 13 = 0."""
+    docs = translate_docs(spark, sf_dir).where("has_fm").select("doc_id", "rel_path", "frontmatter")
+    fields = materialize(FM.fields(docs, ["doc_id", "rel_path"]), "fields")
+    fan = fields.where("translatable and doc_id % 11 <> 0").withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
+    replies = fan.select(F.concat_ws(":", F.lit("frontmatter"), "rel_path", "lang", F.col("ord").cast("string")).alias("request_id"),
+                         F.expr(FM_REPLY_SPARK).alias("content"), F.when(F.col("doc_id") % 13 == 0, F.lit("timeout")).alias("error"))
+    return target_blocks(docs.select("rel_path", "frontmatter"), fields, replies, TARGETS)
 
 
 def joined_replies(spark, sf_dir):
@@ -141,12 +149,18 @@ def q_responses_joined(spark, sf_dir):
 docs AS (SELECT lang, rel_path, string_agg(text, chr(10) || chr(10) ORDER BY part_no) AS body,
                 count(*) AS n_parts, CAST(sum(CASE WHEN status = 'fallback_source' THEN 1 ELSE 0 END) AS BIGINT) AS n_fallback,
                 CAST(sum(tokens) AS BIGINT) AS tokens
-         FROM joined GROUP BY lang, rel_path)
+         FROM joined GROUP BY lang, rel_path),
+{fm_fields_sql()},
+nv AS (SELECT doc_id, ord, key, kind, entry, CASE WHEN translatable AND doc_id % 11 <> 0 AND doc_id % 13 <> 0
+              THEN {clean_field_sql(FM_REPLY_SQL)} ELSE value END AS new_value FROM fields2),
+built AS (SELECT doc_id, '---' || chr(10) || string_agg(CASE WHEN kind IN ('other', 'block') THEN entry
+                 ELSE key || ': ' || {yaml_scalar_sql('new_value', 'kind')} END || chr(10), '' ORDER BY ord) || '---' AS block
+          FROM nv GROUP BY doc_id)
 SELECT d.lang, d.rel_path, 'output/' || d.lang || '/' || d.rel_path AS output_path,
-       CASE WHEN p.frontmatter IS NOT NULL AND p.frontmatter <> '' THEN p.frontmatter || chr(10) || chr(10) || d.body
+       CASE WHEN p.frontmatter IS NOT NULL AND p.frontmatter <> '' THEN coalesce(b.block, p.frontmatter) || chr(10) || chr(10) || d.body
             ELSE d.body END AS text,
        d.n_parts, d.n_fallback, d.tokens
-FROM docs d JOIN prepared p ON p.rel_path = d.rel_path
+FROM docs d JOIN prepared p ON p.rel_path = d.rel_path LEFT JOIN built b ON b.doc_id = p.doc_id
 """)
 def q_translated_docs(spark, sf_dir):
     docs = RS.assemble_documents(joined_replies(spark, sf_dir), doc_frontmatter(spark, sf_dir))

@@ -122,7 +122,7 @@ def q_request_dedup(spark, sf_dir):
 
 
 # --- PRJ-5 ------------------------------------------------------------------
-def _fm_fields_sql() -> str:
+def fm_fields_sql() -> str:
     b = "yb"
     return f"""fmd AS (
   SELECT doc_id, rel_path, {S.strip('frontmatter')} AS s FROM prepared WHERE frontmatter IS NOT NULL
@@ -189,7 +189,7 @@ fields AS (
 fields2 AS (SELECT *, kind = 'string' AND {S.strip('value')} <> '' AS translatable FROM fields)"""
 
 
-@register("frontmatter_fields", "PRJ-5", sql=f"""WITH {S.prepared_cte()}, {_fm_fields_sql()}
+@register("frontmatter_fields", "PRJ-5", sql=f"""WITH {S.prepared_cte()}, {fm_fields_sql()}
 SELECT doc_id, ord, key, raw, kind, value, translatable FROM fields2
 """)
 def q_frontmatter_fields(spark, sf_dir):
@@ -214,7 +214,7 @@ FROM (
   WHERE f.translatable)"""
 
 
-@register("frontmatter_requests", "REQ-2", sql=f"""WITH {S.prepared_cte()}, {_fm_fields_sql()},
+@register("frontmatter_requests", "REQ-2", sql=f"""WITH {S.prepared_cte()}, {fm_fields_sql()},
 {S.glossary_cte()}, {S.gblock_cte()}, {S.memory_cte(D.ISSUES_SQL)}
 {_fm_req_sql()}
 """)
@@ -228,15 +228,15 @@ def q_frontmatter_requests(spark, sf_dir):
 # --- PRJ-6 / PRJ-7 ----------------------------------------------------------
 # Simulated model replies for each translatable field, by doc_id % 5:
 # prefixed, fenced, quoted, two-line, plain.
-_FM_REPLY_SPARK = ("CASE doc_id % 5 WHEN 0 THEN concat('TRANSLATION: ', value) "
+FM_REPLY_SPARK = ("CASE doc_id % 5 WHEN 0 THEN concat('TRANSLATION: ', value) "
                    "WHEN 1 THEN concat('```yaml\\n', value, '\\n```') WHEN 2 THEN concat('\"', value, '\"') "
                    "WHEN 3 THEN concat(value, '\\nsecond line') ELSE value END")
-_FM_REPLY_SQL = ("CASE doc_id % 5 WHEN 0 THEN 'TRANSLATION: ' || value "
+FM_REPLY_SQL = ("CASE doc_id % 5 WHEN 0 THEN 'TRANSLATION: ' || value "
                  "WHEN 1 THEN '```yaml' || chr(10) || value || chr(10) || '```' WHEN 2 THEN '\"' || value || '\"' "
                  "WHEN 3 THEN value || chr(10) || 'second line' ELSE value END")
 
 
-def _clean_sql(x: str) -> str:
+def clean_field_sql(x: str) -> str:
     from docweave.functions.text import REPLY_PREFIXES
     pref = " OR ".join(f"starts_with(lower({x}), {S.q(p)})" for p in REPLY_PREFIXES)
     v = f"CASE WHEN {pref} THEN {S.strip(f'substr({x}, instr({x}, {S.q(":")}) + 1)')} ELSE {x} END"
@@ -246,17 +246,17 @@ def _clean_sql(x: str) -> str:
     return S.strip(f"replace({v}, chr(10), ' ')")
 
 
-@register("frontmatter_clean", "PRJ-6", sql=f"""WITH {S.prepared_cte()}, {_fm_fields_sql()}
-SELECT doc_id, ord, reply, {_clean_sql('reply')} AS cleaned
-FROM (SELECT doc_id, ord, {_FM_REPLY_SQL} AS reply FROM fields2 WHERE translatable)
+@register("frontmatter_clean", "PRJ-6", sql=f"""WITH {S.prepared_cte()}, {fm_fields_sql()}
+SELECT doc_id, ord, reply, {clean_field_sql('reply')} AS cleaned
+FROM (SELECT doc_id, ord, {FM_REPLY_SQL} AS reply FROM fields2 WHERE translatable)
 """)
 def q_frontmatter_clean(spark, sf_dir):
     f = FM.fields(prepared(spark, sf_dir), ["doc_id", "rel_path"]).where("translatable")
-    r = f.select("doc_id", "ord", F.expr(_FM_REPLY_SPARK).alias("reply"))
+    r = f.select("doc_id", "ord", F.expr(FM_REPLY_SPARK).alias("reply"))
     return r.withColumn("cleaned", FM.clean_value(F.col("reply")))
 
 
-def _yaml_scalar_sql(v: str, kind: str) -> str:
+def yaml_scalar_sql(v: str, kind: str) -> str:
     nq = " OR ".join([
         f"{v} = ''", f"regexp_matches({v}, {S.q(FM.NULL_RE)})", f"regexp_matches({v}, {S.q(FM.INT_RE)})",
         f"regexp_matches({v}, {S.q(FM.FLOAT_RE)})",
@@ -268,16 +268,16 @@ def _yaml_scalar_sql(v: str, kind: str) -> str:
             f"ELSE {v} END WHEN {kind} = 'null' THEN 'null' ELSE {v} END")
 
 
-@register("frontmatter_rebuilt", "PRJ-7,PRJ-4", sql=f"""WITH {S.prepared_cte()}, {_fm_fields_sql()},
+@register("frontmatter_rebuilt", "PRJ-7,PRJ-4", sql=f"""WITH {S.prepared_cte()}, {fm_fields_sql()},
 nv AS (SELECT doc_id, ord, key, kind, entry,
-              CASE WHEN translatable THEN {_clean_sql(_FM_REPLY_SQL)} ELSE value END AS new_value FROM fields2)
+              CASE WHEN translatable THEN {clean_field_sql(FM_REPLY_SQL)} ELSE value END AS new_value FROM fields2)
 SELECT doc_id, '---' || chr(10) || string_agg(CASE WHEN kind IN ('other', 'block') THEN entry
-        ELSE key || ': ' || {_yaml_scalar_sql('new_value', 'kind')} END || chr(10), '' ORDER BY ord) || '---' AS frontmatter
+        ELSE key || ': ' || {yaml_scalar_sql('new_value', 'kind')} END || chr(10), '' ORDER BY ord) || '---' AS frontmatter
 FROM nv GROUP BY doc_id
 """)
 def q_frontmatter_rebuilt(spark, sf_dir):
     f = FM.fields(prepared(spark, sf_dir), ["doc_id", "rel_path"])
-    nv = f.withColumn("new_value", F.when(F.col("translatable"), FM.clean_value(F.expr(_FM_REPLY_SPARK)))
+    nv = f.withColumn("new_value", F.when(F.col("translatable"), FM.clean_value(F.expr(FM_REPLY_SPARK)))
                       .otherwise(F.col("value")))
     return FM.rebuild(nv, ["doc_id"])
 

@@ -259,6 +259,26 @@ NEW_MANIFEST_SQL = (f"SELECT CASE WHEN doc_id % 13 = 0 THEN 'moved/' || ({_MPATH
                     f"sha256(CASE WHEN doc_id % 7 = 0 THEN text || ' (rev)' ELSE text END) AS sha256 "
                     f"FROM documents WHERE doc_id % 10 <> 1")
 
+
+
+def snapshot_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The documents of the two snapshots: ``(path, md)``; ``md`` is the markdown view, with `` (rev)`` at its end where the text changed."""
+    d = md_docs(spark, sf_dir).select("doc_id", "source", "md")
+    old = d.where(F.col("doc_id") % 10 != 0).select(F.expr(_MPATH).alias("path"), "md")
+    new_md = F.when(F.col("doc_id") % 7 == 0, F.concat("md", F.lit(" (rev)"))).otherwise(F.col("md"))
+    new_path = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("moved/"), F.expr(_MPATH))).otherwise(F.expr(_MPATH))
+    return old, d.where(F.col("doc_id") % 10 != 1).select(new_path.alias("path"), new_md.alias("md"))
+
+
+# Both snapshots as one ``md_docs``: the old one with even ids, the new one with odd ids.
+SNAPSHOT_DOCS_CTE = f"""md_docs AS (
+  SELECT id AS doc_id, source, lang, path AS rel_path, md FROM (
+    SELECT doc_id * 2 AS id, source, lang, {_MPATH_SQL} AS path, {MD_SQL} AS md FROM documents WHERE doc_id % 10 <> 0
+    UNION ALL
+    SELECT doc_id * 2 + 1, source, lang, CASE WHEN doc_id % 13 = 0 THEN 'moved/' || ({_MPATH_SQL}) ELSE {_MPATH_SQL} END,
+           {MD_SQL} || CASE WHEN doc_id % 7 = 0 THEN ' (rev)' ELSE '' END FROM documents WHERE doc_id % 10 <> 1)
+)"""
+
 # Change lines rendered from a diff, as ``git status --porcelain`` prints them
 # at the root of repository ``book`` whose documents live under ``docs/``;
 # a third of the lines belong to another tree (``i18n/``) or carry no repo
