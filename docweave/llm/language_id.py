@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,37 +33,80 @@ def _letters() -> np.ndarray:
     return out
 
 
-def ranked_grams(texts: list[str | None], grams: int, profile: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Counted n-grams of each text: (text index, gram, count, rank). Letters in lower case; all else is
-    a word edge, which is part of grams beside letters. Ranks: most frequent first, ties by
-    gram; only ranks under ``profile`` if given. A gram is a 40-bit hash."""
-    points, off = code_points(texts)
+#: Characters whose n-grams are listed at a time; a longer text is cut for counting.
+RUN_CHARS = 1 << 17
+
+
+def _runs(texts: list[str | None], overlap: int) -> Iterator[list[tuple[int, str, int]]]:
+    """Pieces (text index, characters, n-grams' first places) of about RUN_CHARS in all, in order.
+
+    A text begins and ends with an edge (a line feed). A piece goes on for ``overlap`` characters after the places that it
+    counts, so that every n-gram of the text begins in exactly one piece.
+    """
+    run, room = [], RUN_CHARS
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        at, end = 0, len(t) + 1  # places of the text with its edges; the last edge begins nothing
+        while at < end:
+            n = min(end - at, max(room, 1))
+            piece = ("\n" if at == 0 else "") + t[max(at - 1, 0):at + n - 1 + overlap]
+            run.append((i, piece + "\n" if at + n - 1 + overlap >= len(t) else piece, n))
+            at += n
+            room -= n
+            if room <= 0:
+                yield run
+                run, room = [], RUN_CHARS
+    if run:
+        yield run
+
+
+def _gram_keys(run: list[tuple[int, str, int]], grams: int) -> np.ndarray:
+    """One key (text index, 40-bit hash) per n-gram that begins in a piece's places."""
+    points, _ = code_points(["".join(p for _, p, _ in run)])
     x = _letters()[points].astype(np.uint64)
-    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    # one edge before and after each text
-    spaced = np.zeros(len(x) + len(off), np.uint64)
-    at = np.arange(len(x)) + owner + 1
-    spaced[at] = x
-    text = np.zeros(len(spaced), np.int64)
-    text[at] = owner
-    text[off[1:] + np.arange(1, len(off))] = np.arange(len(off) - 1)
-    letter = spaced > 0
-    keys = [(text[letter].astype(np.uint64) << C.U64(40)) | (C.mix64(spaced[letter]) >> C.U64(24))]
+    size = np.array([len(p) for _, p, _ in run])
+    text = np.repeat(np.array([i for i, _, _ in run], np.uint64), size) << C.U64(40)
+    begins = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size) < np.repeat(np.array([n for _, _, n in run]), size)
+    letter = x > 0
+    one = letter & begins
+    keys = [text[one] | (C.mix64(x[one]) >> C.U64(24))]
     for n in range(2, grams + 1):
-        h = np.zeros(max(len(spaced) - n + 1, 0), np.uint64)
-        inner = np.ones(len(h), bool)
+        m = max(len(x) - n + 1, 0)
+        h, inner = np.zeros(m, np.uint64), begins[:m].copy()
         for k in range(n):
-            h = h * C.U64(0x110000) + spaced[k:k + len(h)]
+            h = h * C.U64(0x110000) + x[k:k + m]
             if 0 < k < n - 1:
-                inner &= letter[k:k + len(h)]
-        inner &= letter[:len(h)] | letter[n - 1:n - 1 + len(h)]
-        where = np.where(letter[:len(h)], text[:len(h)], text[1:1 + len(h)])
-        keys.append((where[inner].astype(np.uint64) << C.U64(40)) | (C.mix64(h[inner] + C.U64(n)) >> C.U64(24)))
-    key = np.concatenate(keys)
-    key.sort()
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.concatenate((new, [len(key)])))
-    doc, gram = (key[new] >> C.U64(40)).astype(np.int64), (key[new] & C.U64((1 << 40) - 1)).astype(np.int64)
+                inner &= letter[k:k + m]
+        inner &= letter[:m] | letter[n - 1:n - 1 + m]
+        keys.append(text[:m][inner] | (C.mix64(h[inner] + C.U64(n)) >> C.U64(24)))
+    return np.concatenate(keys)
+
+
+def _tally(key: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each stands (or its sum of counts)."""
+    if count is None:
+        key.sort()
+    else:
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[new], np.diff(np.concatenate((new, [len(key)]))) if count is None else np.add.reduceat(count, new)
+
+
+def ranked_grams(texts: list[str | None], grams: int, profile: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counted n-grams of each text: (text index, gram, count, rank). Letters in lower case; all else is
+    a word edge, which is part of grams beside letters. Ranks: most frequent first, ties by
+    gram; only ranks under ``profile`` if given. A gram is a 40-bit hash. Whole texts are counted, in runs of
+    bounded size: a long text costs memory for its distinct n-grams only."""
+    tallies = [_tally(_gram_keys(run, grams)) for run in _runs(texts, grams - 1)]
+    if len(tallies) > 1:
+        key, count = _tally(np.concatenate([k for k, _ in tallies]), np.concatenate([c for _, c in tallies]))
+    else:
+        key, count = tallies[0] if tallies else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    doc, gram = (key >> C.U64(40)).astype(np.int64), (key & C.U64((1 << 40) - 1)).astype(np.int64)
     order = np.lexsort((gram, -count, doc))
     doc, gram, count = doc[order], gram[order], count[order]
     rank = np.arange(len(doc)) - np.searchsorted(doc, doc, side="left")

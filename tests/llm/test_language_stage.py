@@ -3,6 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from docweave.llm import language_id
+from tests.llm import brute
 from tests.llm.conftest import DOCS
 
 
@@ -20,3 +22,17 @@ def test_stage_rejects_gibberish_beside_clean_texts(spark, corpus, small_dir):
     odd = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(bad)], DOCS)
     kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, corpus[0].unionByName(odd), small_dir).collect()}
     assert kept == {k for k, r in corpus[1].items() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_long_texts_are_counted_in_runs(monkeypatch):
+    rng = random.Random(1)
+    texts = [None, "", "a", "é1", "\n\n", "12", "日本語 テスト", "İstanbul ßtraße", "ab " * 500]
+    texts += ["".join(rng.choice("abc é1\n") for _ in range(rng.randrange(60))) for _ in range(60)]
+    want = [dict(brute.gram_counts(t)) for t in texts]
+    for run in (1, 7, 100, 1 << 17):
+        monkeypatch.setattr(language_id, "RUN_CHARS", run)
+        doc, gram, count, _ = language_id.ranked_grams(texts, 3, None)
+        got = [{} for _ in texts]
+        for d, g, c in zip(doc.tolist(), gram.tolist(), count.tolist()):
+            got[d][g] = c
+        assert got == want
