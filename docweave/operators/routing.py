@@ -37,12 +37,13 @@ def is_binary(content: Column) -> Column:
 
 def route(path: Column, content: Column, case_sensitive: bool = True) -> Column:
     """FLT-2 / FLT-3: ``copy`` if binary or not ``.md``/``.mdx``; ``failed``
-    if it passed the binary probe but is not valid UTF-8 as a whole; else
-    ``translate``. The full run compares extensions case-sensitively, the
+    if it has no content (it could not be read), or passed the binary probe but
+    is not valid UTF-8 as a whole; else ``translate``. The full run compares extensions case-sensitively, the
     incremental run case-insensitively."""
     p = path if case_sensitive else F.lower(path)
     md = p.endswith(".md") | p.endswith(".mdx")
-    return (F.when(~md | is_binary(content), F.lit("copy"))
+    return (F.when(content.isNull(), F.lit("failed"))
+            .when(~md | is_binary(content), F.lit("copy"))
             .when(~F.is_valid_utf8(content), F.lit("failed"))
             .otherwise(F.lit("translate")))
 

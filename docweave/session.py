@@ -27,6 +27,7 @@ def get_spark(master: str | None = None, app: str = "docweave",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         "spark.driver.memory": os.environ.get("DOCWEAVE_DRIVER_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(int(cpus) * 2),
     }

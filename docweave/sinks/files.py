@@ -1,44 +1,22 @@
 """Sinks: partitioned tables (SNK-1/2/4/5), one-file-per-row export (SNK-1,
 SNK-2) and validation reports (SNK-3).
 
-Table sinks are plain ``DataFrameWriter`` calls (task commits are atomic).
-The per-row export writes each file under a temporary name and renames it,
-so a retried task overwrites instead of leaving partial files.
+Table sinks are plain ``DataFrameWriter`` calls (task commits are atomic). The
+per-row export is the ``doc_tree`` sink, whose tasks and jobs commit as well.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _local(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+from docweave.sources.tree import write_tree
 
 
-def export_files(df: DataFrame, root: str, rel_col: str = "output_path", content_col: str = "content") -> None:
+def export_files(df: DataFrame, root: str, rel_col: str = "output_path", content_col: str = "content", mode: str = "append") -> None:
     """One file per row at ``root/<rel_col>``; ``content_col`` is binary or
-    string (written as UTF-8). For a mounted/shared filesystem."""
-    root = _local(root)
-
-    def write(rows):
-        for r in rows:
-            rel, data = r[rel_col], r[content_col]
-            if data is None:
-                continue
-            if isinstance(data, str):
-                data = data.encode("utf-8")
-            target = os.path.join(root, rel)
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            tmp = f"{target}.tmp-{uuid.uuid4().hex}"
-            with open(tmp, "wb") as f:
-                f.write(bytes(data))
-            os.replace(tmp, target)
-
-    df.select(rel_col, content_col).foreachPartition(write)
+    string (written as UTF-8). ``overwrite`` replaces the whole tree at once."""
+    write_tree(df, root, rel_col, content_col, mode)
 
 
 def write_report(files: DataFrame, kept: DataFrame, path: str) -> None:

@@ -1,138 +1,13 @@
-"""File-tree sources (SRC-1, SRC-2) and the glossary / issue-memory file
-readers (SRC-3 lives in ``config``; SRC-5 here).
-
-Spark's file sources skip names starting with ``_`` or ``.`` even when named
-explicitly, and partial files such as ``_snippet.mdx`` are content here, so
-the tree is listed by our own code (sub-directories walked inside tasks) and
-the bytes are read in the executors.
-"""
+"""Issue-memory files (SRC-5); document trees (SRC-1, SRC-2) are read by ``tree``, the glossary (SRC-3) by ``config``."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docweave.functions.text import WS
-
-LISTING_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("rel_path", T.StringType(), False),
-    T.StructField("length", T.LongType(), False),
-])
-
-FILES_SCHEMA = T.StructType(LISTING_SCHEMA.fields + [T.StructField("content", T.BinaryType(), True)])
-
-
-def _is_local(root: str) -> bool:
-    return root.startswith("file:") or "://" not in root
-
-
-def list_tree(spark: SparkSession, root: str, extensions: tuple[str, ...] | None = None) -> DataFrame:
-    """Every file under ``root`` (hidden and ``_``-prefixed names included),
-    ``rel_path`` relative to ``root`` with ``/`` separators. With
-    ``extensions`` (case-sensitive, e.g. ``('.md', '.mdx')``) only matching
-    names are kept (SRC-2).
-
-    On a local or mounted filesystem the driver reads only the top level; the
-    sub-directories are walked inside tasks, so the full path list never
-    passes through the driver. Other filesystems are listed through the
-    Hadoop FileSystem API on the driver (as Spark's own file index does).
-    """
-    ext = tuple(extensions) if extensions else None
-    if not _is_local(root):
-        return _list_tree_hadoop(spark, root, ext)
-    base = _local(root).rstrip("/")
-    top_files, top_dirs = [], []
-    with os.scandir(base) as it:
-        for e in it:
-            if e.is_dir(follow_symlinks=False):
-                top_dirs.append((e.path,))
-            elif e.is_file() and (ext is None or e.name.endswith(ext)):
-                top_files.append((e.path, e.name, e.stat().st_size))
-    files = spark.createDataFrame(top_files, LISTING_SCHEMA)
-    if not top_dirs:
-        return files
-
-    def walk(batches):
-        import os as _os
-        import pandas as _pd
-        for b in batches:
-            rows = []
-            for d in b["dir"]:
-                for dirpath, _, names in _os.walk(d):
-                    for n in names:
-                        if ext is not None and not n.endswith(ext):
-                            continue
-                        full = _os.path.join(dirpath, n)
-                        rows.append((full, _os.path.relpath(full, base).replace(_os.sep, "/"),
-                                     _os.path.getsize(full)))
-                    if len(rows) >= 50_000:
-                        yield _pd.DataFrame(rows, columns=["path", "rel_path", "length"])
-                        rows = []
-            yield _pd.DataFrame(rows, columns=["path", "rel_path", "length"])
-
-    dirs = spark.createDataFrame(top_dirs, "dir string")
-    dirs = dirs.repartition(min(len(top_dirs), spark.sparkContext.defaultParallelism * 4))
-    return files.unionByName(dirs.mapInPandas(walk, LISTING_SCHEMA))
-
-
-def _list_tree_hadoop(spark: SparkSession, root: str, ext: tuple[str, ...] | None) -> DataFrame:
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    root_path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = root_path.getFileSystem(conf)
-    base = fs.makeQualified(root_path).toString().rstrip("/") + "/"
-    it = fs.listFiles(root_path, True)
-    rows = []
-    while it.hasNext():
-        st = it.next()
-        p = st.getPath().toString()
-        rel = p[len(base):] if p.startswith(base) else p
-        if ext and not rel.endswith(ext):
-            continue
-        rows.append((p, rel, int(st.getLen())))
-    n = max(1, min(len(rows) // 256 + 1, spark.sparkContext.defaultParallelism * 4))
-    return spark.createDataFrame(rows, LISTING_SCHEMA).repartition(n)
-
-
-def _local(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-MAX_BATCH_BYTES = 64 << 20
-
-
-def read_bytes(listing: DataFrame) -> DataFrame:
-    """Adds ``content`` (the file bytes), read inside the tasks; output
-    batches are cut at ``MAX_BATCH_BYTES`` so large files never pile up in one
-    Arrow batch. A file that vanished reads as null."""
-    def read(batches):
-        import pandas as _pd
-        for b in batches:
-            rows, size = [], 0
-            for p, rel, n in zip(b["path"], b["rel_path"], b["length"]):
-                try:
-                    with open(_local(p), "rb") as f:
-                        data = f.read()
-                except OSError:
-                    data = None
-                rows.append((p, rel, n, data))
-                size += len(data or b"")
-                if size >= MAX_BATCH_BYTES:
-                    yield _pd.DataFrame(rows, columns=["path", "rel_path", "length", "content"])
-                    rows, size = [], 0
-            if rows:
-                yield _pd.DataFrame(rows, columns=["path", "rel_path", "length", "content"])
-    return listing.mapInPandas(read, FILES_SCHEMA)
-
-
-def scan_tree(spark: SparkSession, root: str, extensions: tuple[str, ...] | None = None) -> DataFrame:
-    """SRC-1 / SRC-2: ``doc_files`` rows ``(path, rel_path, length, content)``."""
-    return read_bytes(list_tree(spark, root, extensions))
-
+from docweave.sources.tree import scan_tree  # noqa: F401 - the scan's old place
+from docweave.storage import Folder
 
 MEMORY_ITEM = "array<struct<original:string,translated:string,reason:string>>"
 
@@ -141,7 +16,7 @@ def read_issue_memory(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-5: ``prompt_improvements_<lang>.json`` files (one JSON array each)
     → ``(lang, seq, original, translated, reason)`` with ``seq`` = array
     position. An absent, empty or non-list file yields nothing."""
-    if not os.path.isdir(_local(folder)):
+    if not Folder(spark, folder).exists():
         return spark.createDataFrame([], "lang string, seq bigint, original string, translated string, reason string")
     raw = (spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/prompt_improvements_*.json")
            .select(F.col("value"), F.col("_metadata.file_name").alias("name")))
