@@ -47,6 +47,21 @@ def extension(name: str) -> str:
     return name[name.rindex("."):] if "." in name else ""
 
 
+def _entries(system: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bool, int]]:
+    """Name, whether it is a folder, and size of what is right in a folder. Links to folders, which may lead back, are left out;
+    a link to nothing is a file (that can't be read)."""
+    if not isinstance(system, pafs.LocalFileSystem):
+        for info in system.get_file_info(pafs.FileSelector(folder)):
+            yield info.base_name, info.type == pafs.FileType.Directory, int(info.size or 0)
+        return
+    with os.scandir(folder) as found:
+        for e in found:
+            if e.is_dir(follow_symlinks=False):
+                yield e.name, True, 0
+            elif not e.is_dir():
+                yield e.name, False, e.stat(follow_symlinks=os.path.exists(e.path)).st_size
+
+
 @dataclass
 class Wanted:
     """What pushed filters (and the ``extensions`` option) leave of a tree."""
@@ -96,15 +111,13 @@ class TreeReader(DataSourceReader):
     def _list(self, system, base: str, folder: str) -> tuple[list[tuple[str, int]], list[str]]:
         """Files (relative path, size) right in a folder and its sub-folders, those that are wanted, in order."""
         files, folders = [], []
-        mounted = isinstance(system, pafs.LocalFileSystem)
-        for info in system.get_file_info(pafs.FileSelector(posixpath.join(base, folder))):
-            rel = posixpath.join(folder, info.base_name)
-            if info.type == pafs.FileType.Directory:
-                # a link to a folder may lead back to it
-                if self.wanted.folder(rel) and not (mounted and os.path.islink(info.path)):
+        for name, is_folder, size in _entries(system, posixpath.join(base, folder)):
+            rel = posixpath.join(folder, name)
+            if is_folder:
+                if self.wanted.folder(rel):
                     folders.append(rel)
             elif self.wanted.file(rel):
-                files.append((rel, int(info.size or 0)))
+                files.append((rel, size))
         return sorted(files), sorted(folders)
 
     def partitions(self) -> list[Part]:
