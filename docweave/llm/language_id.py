@@ -117,6 +117,7 @@ def ranked_grams(texts: list[str | None], grams: int, profile: int | None) -> tu
 
 
 def _count(grams: int):
+    @C.bounded
     def run(batches):
         for part, _, _ in C.text_blocks(batches, "text"):
             langs, code = np.unique(np.array(part.column(1).to_pylist(), dtype=object), return_inverse=True)
@@ -177,6 +178,8 @@ def _predict(profiles: list[tuple[str, list[int]]], grams: int, profile: int):
     for j, (_, p) in enumerate(profiles):
         ranks[np.searchsorted(known, p), j] = np.arange(len(p))
 
+    @C.bounded
+
     def run(batches):
         for part, _, _ in C.text_blocks(batches, "text"):
             doc, gram, _, rank = ranked_grams(part.column(1).to_pylist(), grams, profile)
@@ -248,6 +251,8 @@ def learn_with_bounds(docs: DataFrame) -> tuple[list[tuple[str, list[int]]], dic
 def _keep(profiles: list[tuple[str, list[int]]], bounds: dict[str, float], at: int):
     judge = _predict(profiles, GRAMS, PROFILE)
 
+    @C.bounded
+
     def run(batches):
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], ["id", "text"])

@@ -108,6 +108,7 @@ def member_column(values: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def _verify(percent: int):
+    @C.bounded
     def run(batches):
         for batch in batches:
             a, b = batch.column(2), batch.column(3)
@@ -122,6 +123,9 @@ def _verify(percent: int):
     return run
 
 
+@C.bounded
+
+
 def _each(batches):
     for batch in batches:
         sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]

@@ -23,6 +23,7 @@ def text_sets(buf: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray,
 
 
 def _sign(width: int, bands: int, rows: int):
+    @C.bounded
     def run(batches):
         for part, buf, off in C.text_blocks(batches, "text"):
             yield pa.RecordBatch.from_arrays([part.column(0), *M.signed_columns(*text_sets(buf, off, width), bands, rows)],
@@ -31,6 +32,7 @@ def _sign(width: int, bands: int, rows: int):
 
 
 def _members(width: int):
+    @C.bounded
     def run(batches):
         for part, buf, off in C.text_blocks(batches, "text"):
             yield pa.RecordBatch.from_arrays([part.column(0), M.member_column(*text_sets(buf, off, width))], ["id", "members"])

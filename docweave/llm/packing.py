@@ -171,6 +171,8 @@ def _pack(path: str, length: int, end_id: int, held_tokens: int):
                     ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
         return batches(), n
 
+    @C.bounded
+
     def run(batches):
         encode = encoder(path)
         base, pieces, held = TaskContext.get().partitionId() << 40, [], 0

@@ -151,6 +151,7 @@ _ENTRY_SCHEMA = "bucket int, kind int, h binary, id binary, uid binary, spot bin
 def _emit_anchors(length: int, gram: int, buckets: int):
     """Blocks of (hash, document, spot) by bucket. Kind 0: one entry per hash and
     block; kind 1: entries whose hash the block holds twice, already known to recur."""
+    @C.bounded
     def run(batches):
         for ids, uids, base, buf, off in _pieces(batches, length):
             first, last, at, owner = anchors(buf, off, length, gram)
@@ -206,6 +207,9 @@ def _per_document(ids: np.ndarray, uids: np.ndarray, values: list[np.ndarray], n
          pa.array([packed[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], ["id", "uid", name])
 
 
+@C.bounded
+
+
 def _recurring(batches):
     """Spots whose anchor occurs at two places or more."""
     for fresh, known in _buckets(batches, _ENTRY, [np.uint32, np.int64, np.int64, np.int64]):
@@ -226,6 +230,7 @@ _CONTEXT_TYPES = [np.int64, np.int64, np.int64, np.uint8, np.uint8, np.uint8, np
 def _emit_contexts(length: int, gram: int, buckets: int):
     """Contexts by bucket of their anchor's hash. Kind 0: one per content and block;
     kind 1: later copies in the block, whose windows all start earlier too."""
+    @C.bounded
     def run(batches):
         for part, buf, off in C.text_blocks(batches, "text", BLOCK):
             ids, uids = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -319,6 +324,7 @@ def _solve(ids, uids, start, lead, windows, size, text, length: int, gram: int)
 
 
 def _solve_buckets(length: int, gram: int):
+    @C.bounded
     def run(batches):
         for fresh, known in _buckets(batches, _CONTEXT, _CONTEXT_TYPES):
             ids, uids, begin, end = [known[0]], [known[1]], [known[2]], [known[2] + known[4].astype(np.int64) - 1 + length]
@@ -346,6 +352,9 @@ def merge_spans(spans: list[bytes] | None) -> np.ndarray:
     return np.stack((s[cut, 0], top[last]), axis=1)
 
 
+@C.bounded
+
+
 def _cut(batches):
     """Texts without their spans: kept bytes, and the text in whole characters."""
     for part, buf, off in C.text_blocks(batches, "text"):
