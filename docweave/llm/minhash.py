@@ -134,6 +134,23 @@ def _each(batches):
                                           pa.array(np.concatenate(sets))], ["id", "s"])
 
 
+#: Words of 64 bits of a filter of ids: 16 million bits, some MB, whatever the ids.
+FILTER_WORDS = 1 << 18
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``id`` is among ``ids`` (one column, distinct).
+
+    A bitmap of hashed ids, of fixed size and built by word, drops most other rows where they are read; an exact semi-join
+    decides on what is left. So long rows of which few are wanted don't move for being compared. A full bitmap drops none.
+    """
+    word = f"pmod(shiftright(xxhash64(id), 6), {FILTER_WORDS})"
+    bit = "shiftleft(1L, cast(xxhash64(id) & 63 as int))"
+    bits = ids.selectExpr(f"{word} AS _word", f"{bit} AS _bit").groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    maybe = rows.join(F.broadcast(bits), F.expr(f"{word} = _word AND (_bits & {bit}) <> 0"), "left_semi")
+    return maybe.join(ids, "id", "left_semi")
+
+
 def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], scratch: C.Scratch,
                  percent: int) -> DataFrame:
     """Classes of equal sets and components of verified near-equal classes.
@@ -202,10 +219,11 @@ def near_classes(signed: DataFrame, set_of: Callable[[DataFrame], DataFrame], sc
     least = open_.groupBy("cell").agg(F.min("n_shingles").alias("smallest"))
     able = open_.join(company, "rep").join(least, "cell").filter(
         F.col("held") * (100 + percent) >= (F.col("n_shingles") + F.col("smallest")) * percent).drop("smallest")
-    bits = signed.select(F.col("id").alias("rep"), "sketch", "bands").distinct()
-    todo = scratch.save(mixed(able).join(bits, "rep").withColumn(
+    able = scratch.save(mixed(able), "able")
+    bits = among(signed.select("id", "sketch", "bands"), able.select(F.col("rep").alias("id")).distinct()).distinct().withColumnRenamed("id", "rep")
+    todo = scratch.save(able.join(bits, "rep").withColumn(
         "block", F.floor((F.row_number().over(Window.partitionBy("cell").orderBy("rep")) - 1) / F.lit(BLOCK)).cast("int")), "todo")
-    scratch.drop("open", "each", "pulled")
+    scratch.drop("open", "each", "pulled", "able")
     pivots = todo.select("cell", "block", F.col("rep").alias("u"), F.col("root").alias("p_root"),
                          F.col("n_shingles").alias("p_n"), F.col("held").alias("p_held"), F.col("sketch").alias("p_sketch"), F.col("bands").alias("p_bands"))
     # a pair that shares several buckets is handled in the least of them

@@ -60,7 +60,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = scratch.save(base.mapInArrow(_sign(width, bands, rows), f"id {kind}, {M.SIGNED}"), "signed")
 
     def set_of(ids: DataFrame) -> DataFrame:
-        return base.join(ids, "id", "left_semi").mapInArrow(_members(width), f"id {kind}, members binary")
+        return M.among(base, ids).mapInArrow(_members(width), f"id {kind}, members binary")
 
     roots = M.near_classes(signed.filter("id is not null"), set_of, scratch, percent)
     return signed.select("id", "n_shingles").join(roots, "id", "left").select(
