@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -63,11 +63,18 @@ def _give_back() -> None:
         pass
 
 
+#: What a module keeps in a worker from task to task: its name and what lets go of it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
 def bounded(run):
-    """``run``, a function for mapInArrow, that gives freed memory back when its task ends: Spark keeps a worker for later tasks and
-    stages, and what allocators hold on to would add up in all workers of an executor."""
+    """``run``, a function for mapInArrow, that gives freed memory back when its task ends, and lets go of what other modules keep
+    before it begins: Spark uses a worker for later tasks and stages, and all that would add up in the workers of an executor."""
     @functools.wraps(run)
     def ending(batches):
+        for module, let_go in KEPT.items():
+            if module != run.__module__:
+                let_go()
         try:
             yield from run(batches)
         finally:

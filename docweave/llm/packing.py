@@ -152,6 +152,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+C.KEPT[__name__] = encoder.cache_clear
+
 _SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 

@@ -212,3 +212,17 @@ def test_integers_of_lists():
         assert got == [[128, -1], None, [], None, None, [512]][cut:]
     with pytest.raises(ValueError):
         vectors.integers(pa.array([[1e30]]), 256)
+
+
+def test_tasks_let_go_of_what_other_operators_keep(monkeypatch):
+    import pyarrow as pa
+
+    from docweave.llm import common
+    gone = []
+    monkeypatch.setattr(common, "KEPT", {__name__: lambda: gone.append("own"), "other": lambda: gone.append("other")})
+
+    @common.bounded
+    def run(batches):
+        yield from batches
+    batch = pa.RecordBatch.from_pylist([{"x": 1}])
+    assert list(run(iter([batch]))) == [batch] and gone == ["other"]
