@@ -2,14 +2,18 @@
 ordered prompt block (AGG-7) and per-pair consistency (QA-2).
 
 The glossary is a literal array (a small configuration file), so a hit
-test is one ``filter(array, contains)`` per row: no row blow-up, no join.
+test is one ``filter(array, contains)`` per row: no row blow-up, no join. For
+glossaries kept as tables see ``term_match``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.session import materialize
 from docweave.sources.config import Glossary
 
 # Prompt headings.
@@ -53,29 +57,35 @@ def glossary_blocks(spark: SparkSession, glossary: Glossary) -> DataFrame:
 
 
 def earlier_terms(parts: DataFrame, keys: list[str], glossary: Glossary,
-                  text: str = "text", part_no: str = "part_no") -> DataFrame:
+                  text: str = "text", part_no: str = "part_no", failed: DataFrame | None = None,
+                  targets: Sequence[str] = ()) -> DataFrame:
     """WIN-4: per part, the glossary terms found in parts ``1..k-1`` of the same
     document, ordered by first part then glossary order (``earlier``:
-    ``array<string>`` of terms, language independent).
+    ``array<string>`` of terms).
 
-    The value depends only on the source text and the glossary, so parts need
-    not be translated in sequence.
+    A term's first part decides, so a document carries one entry per term it has, however many parts repeat it. Without
+    ``failed`` the value depends only on the source text and the glossary, so parts need not be
+    processed in sequence. With ``failed`` (``keys, part_no, lang``: parts whose reply failed) there is a row per part and
+    language of ``targets`` (``lang``), and a failed part counts for none of the later parts in its language.
     """
-    w = (Window.partitionBy(*keys).orderBy(part_no)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    found = F.transform(term_hits_any_lang(text, glossary),
-                        lambda g: F.struct(F.col(part_no).alias("p"), g["ord"].alias("ord"),
-                                           g["term"].alias("term")))
-    prev = F.flatten(F.collect_list(found).over(w))
-    return parts.withColumn(
-        "earlier", F.array_distinct(F.transform(F.array_sort(prev), lambda x: x["term"])))
+    marked = materialize(parts.withColumn("_found", term_hits_any_lang(text, glossary)), "part-terms")
+    hits = marked.select(*keys, F.col(part_no).alias("_p"), F.explode("_found").alias("_g"))
+    of, out = list(keys), marked
+    if failed is not None:
+        lang = F.explode(F.array(*[F.lit(t) for t in targets])).alias("lang")
+        gone = failed.select(*keys, F.col(part_no).alias("_p"), "lang")
+        hits = hits.select("*", lang).join(gone, [*keys, "_p", "lang"], "left_anti")
+        of, out = [*keys, "lang"], marked.select("*", lang)
+    firsts = hits.groupBy(*of, "_g").agg(F.min("_p").alias("_p"))
+    listed = firsts.groupBy(*of).agg(F.array_sort(F.collect_list(F.struct("_p", F.col("_g.ord").alias("ord"), F.col("_g.term").alias("term")))).alias("_firsts"))
+    before = F.filter(F.coalesce("_firsts", F.array().cast("array<struct<_p:bigint,ord:int,term:string>>")), lambda x: x["_p"] < F.col(part_no))
+    return out.join(listed, of, "left").withColumn("earlier", F.transform(before, lambda x: x["term"])).drop("_found", "_firsts")
 
 
 def earlier_terms_split(short: DataFrame, packed: DataFrame, keys: list[str], glossary: Glossary,
                         text: str = "text", part_no: str = "part_no") -> DataFrame:
     """WIN-4 over the two branches of ``split_parts_branches``: a one-part
-    document has no earlier parts, and the multi-part branch is already
-    partitioned by document, so the window adds no exchange."""
+    document has no earlier parts."""
     empty = F.array().cast("array<string>")
     return short.withColumn("earlier", empty).unionByName(earlier_terms(packed, keys, glossary, text, part_no))
 

@@ -10,6 +10,7 @@ from docweave.operators import frontmatter as FM
 from docweave.operators import markdown as M
 from docweave.operators import memory as MEM
 from docweave.operators import responses as RS
+from docweave.operators import structure as ST
 from docweave.operators import validation as V
 from docweave.operators.flow import target_blocks
 from docweave.operators.pairs import pair_outputs
@@ -20,6 +21,7 @@ from docweave.plans.request_queries import FM_REPLY_SPARK, FM_REPLY_SQL, clean_f
 from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
 from docweave.sources import testdata as D
 from docweave.session import materialize
+from docweave.sinks.report import report_pieces
 from docweave.sources.config import TEST_GLOSSARY
 
 GL = TEST_GLOSSARY
@@ -386,6 +388,41 @@ def q_structure_parity(spark, sf_dir):
     return V.structure_parity(docs.join(src, "rel_path"))
 
 
+@register("structure_diff", "QA-1", sql=f"""{_REQ_SQL},
+docs AS (SELECT lang, rel_path, string_agg(text, chr(10) || chr(10) ORDER BY part_no) AS text FROM joined GROUP BY lang, rel_path),
+cd AS (SELECT d.lang, d.rel_path, {ST.codes_sql('p.body')} AS a, {ST.codes_sql('d.text')} AS b FROM docs d JOIN prepared p ON p.rel_path = d.rel_path),
+fd AS (SELECT *, CASE WHEN a <> b THEN coalesce(
+         list_position(list_transform(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i]), false) - 1, least(length(a), length(b))) END AS f FROM cd)
+SELECT lang, rel_path, CAST(length(a) AS BIGINT) AS n_src, CAST(length(b) AS BIGINT) AS n_out, CAST(f AS BIGINT) AS first_diff,
+       CASE WHEN f < length(a) THEN a[f + 1] END AS src_block, CASE WHEN f < length(b) THEN b[f + 1] END AS out_block,
+       CAST(CASE WHEN f IS NULL THEN 0 WHEN f >= least(length(a), length(b)) THEN abs(length(a) - length(b)) ELSE levenshtein(substr(a, f + 1), substr(b, f + 1)) END AS BIGINT) AS n_edits
+FROM fd
+""")
+def q_structure_diff(spark, sf_dir):
+    docs = RS.assemble_documents(joined_replies(spark, sf_dir)).select("lang", "rel_path", F.col("text").alias("translated"))
+    src = prepared(spark, sf_dir).select("rel_path", F.col("body").alias("original"))
+    return ST.structure_diff(docs.join(src, "rel_path"))
+
+
+@register("report_order", "SNK-3", sql=f"""WITH {_VAL_SQL},
+files AS (SELECT lang, count(*) AS total_files FROM rep GROUP BY lang),
+n AS (SELECT lang, count(*) AS total FROM kept GROUP BY lang),
+line AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY file_path, pos) AS k, file_path, pos,
+                '    ' || to_json(struct_pack(file_path := file_path, original := original, translated := translated, reason := reason)) AS item FROM kept),
+pieces AS (SELECT lang, k, file_path, pos, CASE WHEN k = 1 THEN item ELSE ',' || chr(10) || item END AS piece FROM line
+  UNION ALL SELECT f.lang, 0, NULL, NULL, '{{' || chr(10) || '  "language":"' || f.lang || '",' || chr(10) || '  "total_files": ' || total_files || ',' || chr(10)
+    || '  "total_issues": ' || coalesce(total, 0) || ',' || chr(10) || '  "issues": [' || CASE WHEN total > 0 THEN chr(10) ELSE '' END FROM files f LEFT JOIN n USING (lang)
+  UNION ALL SELECT f.lang, coalesce(total, 0) + 1, NULL, NULL, CASE WHEN total > 0 THEN chr(10) || '  ]' ELSE ']' END || chr(10) || '}}' FROM files f LEFT JOIN n USING (lang))
+SELECT lang, CAST(k AS BIGINT) AS k, file_path, pos, sha256(piece) AS piece_sha256,
+       CAST(coalesce(sum(octet_length(encode(piece))) OVER (PARTITION BY lang ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at
+FROM pieces
+""")
+def q_report_order(spark, sf_dir):
+    """The places of all pieces in each language's report document."""
+    files = D.validation_replies(spark, sf_dir).select("lang")
+    return report_pieces(files, _kept(spark, sf_dir)).select("lang", "k", "file_path", "pos", F.sha2("piece", 256).alias("piece_sha256"), "at")
+
+
 @register("glossary_violations", "QA-2", sql=f"""WITH {S.glossary_cte()},
 p AS (SELECT t.rel_path, t.lang, o.original, t.translated FROM ({D.OUTPUTS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)
 SELECT p.rel_path, p.lang, count(g.term) AS n_violations, coalesce(string_agg(g.term, ',' ORDER BY g.ord), '') AS terms

@@ -12,6 +12,7 @@ from docweave.operators import memory as MEM
 from docweave.operators import requests as R
 from docweave.operators.pairs import pair_outputs
 from docweave.operators.routing import output_paths
+from docweave.operators.term_match import match_terms
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
 from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split, split_branches
@@ -62,6 +63,41 @@ def q_terms_seen_before(spark, sf_dir):
     return fan.select("doc_id", "part_no", "target_lang", F.array_join(with_tr, ",").alias("earlier_terms"))
 
 
+# --- JOIN-3, a glossary of the corpus' own size -------------------------------
+@register("glossary_hits_large", "JOIN-3", sql=f"""WITH t AS ({D.TERMS_SQL})
+SELECT d.doc_id, count(t.term) AS n_terms, coalesce(string_agg(t.term, ',' ORDER BY t.term), '') AS terms
+FROM documents d LEFT JOIN t ON contains(d.text, t.term) GROUP BY d.doc_id
+""")
+def q_glossary_hits_large(spark, sf_dir):
+    docs = D.documents(spark, sf_dir).select("doc_id", "text")
+    found = match_terms(docs, ["doc_id"], D.corpus_terms(spark, sf_dir))
+    return found.select("doc_id", F.size("found").cast("bigint").alias("n_terms"), F.array_join("found", ",").alias("terms"))
+
+
+# --- WIN-4 with failed parts --------------------------------------------------
+# Parts whose reply failed: those with a length that leaves a remainder of the language's own.
+_FAILED = "length(text) % 17 = CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 1 ELSE 2 END"
+
+
+@register("terms_after_failures", "WIN-4", sql=f"""{_PARTS_WITH}, {S.earlier_cte()},
+ft AS (SELECT p.doc_id, p.part_no, l.lang FROM parts p CROSS JOIN langs l WHERE {_FAILED}),
+ff AS (SELECT th.doc_id, l.lang, th.term, th.ord, min(th.part_no) AS first_part FROM th CROSS JOIN langs l
+       WHERE NOT EXISTS (SELECT 1 FROM ft WHERE ft.doc_id = th.doc_id AND ft.part_no = th.part_no AND ft.lang = l.lang) GROUP BY ALL),
+fg AS (SELECT ff.* FROM ff JOIN g ON g.term = ff.term AND g.lang = ff.lang)
+SELECT p.doc_id, p.part_no, l.lang AS target_lang, coalesce(string_agg(fg.term, ',' ORDER BY fg.first_part, fg.ord), '') AS earlier_terms
+FROM parts p CROSS JOIN langs l LEFT JOIN fg ON fg.doc_id = p.doc_id AND fg.lang = l.lang AND fg.first_part < p.part_no
+GROUP BY p.doc_id, p.part_no, l.lang
+""")
+def q_terms_after_failures(spark, sf_dir):
+    parts = keyed_parts(spark, sf_dir).select("doc_id", "part_no", "text")
+    fan = parts.withColumn("lang", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
+    failed = fan.where(F.expr(_FAILED)).select("doc_id", "part_no", "lang")
+    e = G.earlier_terms(parts, ["doc_id"], GL, failed=failed, targets=TARGETS)
+    g = GL.array()
+    with_tr = F.filter("earlier", lambda t: F.exists(g, lambda x: (x["term"] == t) & (x["lang"] == F.col("lang"))))
+    return e.select("doc_id", "part_no", F.col("lang").alias("target_lang"), F.array_join(with_tr, ",").alias("earlier_terms"))
+
+
 # --- WIN-5 ------------------------------------------------------------------
 @register("recent_improvements", "WIN-5", sql=f"""WITH {S.memory_cte(D.ISSUES_SQL)}
 SELECT lang, seq, idx, complete FROM rec2

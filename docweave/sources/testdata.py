@@ -61,6 +61,15 @@ MD_DOCS_CTE = f"""md_docs AS (
 )"""
 
 
+# A glossary of the corpus' own size: its words of ten lower-case letters or more.
+TERM_RE = "[a-zà-ÿ]{10,}"
+TERMS_SQL = f"SELECT DISTINCT unnest(regexp_extract_all(text, '{TERM_RE}')) AS term FROM documents"
+
+
+def corpus_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit(TERM_RE), F.lit(0))).alias("term")).distinct()
+
+
 # ---------------------------------------------------------------------------
 # Issues derived from documents (issue memory and validation inputs).
 # Reason templates by (doc_id + line) % 4 (one Russian glossary reason,
@@ -270,6 +279,19 @@ def snapshot_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return old, d.where(F.col("doc_id") % 10 != 1).select(new_path.alias("path"), new_md.alias("md"))
 
 
+def snapshot_texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(path, text)`` of the two snapshots, whose sha256 the manifests have."""
+    d = documents(spark, sf_dir)
+    old = d.where(F.col("doc_id") % 10 != 0).select(F.expr(_MPATH).alias("path"), "text")
+    new_text = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" (rev)"))).otherwise(F.col("text"))
+    new_path = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("moved/"), F.expr(_MPATH))).otherwise(F.expr(_MPATH))
+    return old, d.where(F.col("doc_id") % 10 != 1).select(new_path.alias("path"), new_text.alias("text"))
+
+
+OLD_TEXTS_SQL = f"SELECT {_MPATH_SQL} AS path, text FROM documents WHERE doc_id % 10 <> 0"
+NEW_TEXTS_SQL = (f"SELECT CASE WHEN doc_id % 13 = 0 THEN 'moved/' || ({_MPATH_SQL}) ELSE {_MPATH_SQL} END AS path, "
+                 f"CASE WHEN doc_id % 7 = 0 THEN text || ' (rev)' ELSE text END AS text FROM documents WHERE doc_id % 10 <> 1")
+
 # Both snapshots as one ``md_docs``: the old one with even ids, the new one with odd ids.
 SNAPSHOT_DOCS_CTE = f"""md_docs AS (
   SELECT id AS doc_id, source, lang, path AS rel_path, md FROM (
