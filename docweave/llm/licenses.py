@@ -104,19 +104,51 @@ def evaluate(steps: list[str]) -> tuple[set[str], bool] | None:
                 return None
             stack.append((a, pa_, False))
         else:
-            stack.append((a | b, pa_ or pb if s == "or" else pa_ and pb, False))
+            # the smaller set goes into the larger: linear in all
+            a, b = (a, b) if len(a) >= len(b) else (b, a)
+            a |= b
+            stack.append((a, pa_ or pb if s == "or" else pa_ and pb, False))
     return stack[0][:2]
 
 
 def leading_expression(line: str) -> str | None:
-    """The longest part from a line's start that is a licence expression."""
-    tokens = _TOKEN.findall(line)
-    for n in range(len(tokens), 0, -1):
-        part = " ".join(tokens[:n])
-        steps = postfix(part)
-        if steps is not None and evaluate(steps) is not None:
-            return part
-    return None
+    """The longest part from a line's start that is a licence expression, in one shunting-yard pass.
+
+    The last place at which all parentheses were closed and an operand had ended is kept. A token that can't follow, or a ``with``
+    whose sides aren't plain identifiers, can't be mended by what comes later, so it ends the pass.
+    """
+    tokens, best, operand = [], 0, False
+    # of each open parenthesis: operands so far, whether the last is a plain identifier, whether a ``with`` waits for its right side
+    frames = [[0, False, False]]
+    for m in _TOKEN.finditer(line):
+        t = m[0]
+        if t in _RANK:
+            if not operand or (t == "with" and not frames[-1][1]):
+                break
+            operand, frames[-1][2] = False, t == "with"
+        elif t == "(":
+            if operand:
+                break
+            frames.append([0, False, False])
+        else:
+            if t == ")":
+                if not operand or len(frames) == 1:
+                    break
+                inner = frames.pop()
+                plain = inner[0] == 1 and inner[1]
+            elif operand:
+                break
+            else:
+                plain = True
+            top = frames[-1]
+            if top[2] and not plain:
+                break
+            top[:] = [top[0] + 1, plain and not top[2], False]
+            operand = True
+        tokens.append(t)
+        if operand and len(frames) == 1:
+            best = len(tokens)
+    return " ".join(tokens[:best]) if best else None
 
 
 _TAG_LINE = re.compile("(?:spdx|license)[^a-z0-9\n]+(?:license[^a-z0-9\n]+identifier|expression)[^a-z0-9(\n]*([^\n]*)")
@@ -127,7 +159,7 @@ def scan_text(text: str | None) -> dict:
     raw = (text or "").encode("utf-8", "surrogatepass")
     found = raw.translate(_WORDS).split()
     line = " " + b" ".join(found).decode("latin-1") + " "
-    places, labels, base, notices, tagged = [], set(), set(), 0, False
+    starts, labels, base, notices, tagged = [], set(), set(), 0, False
     for end, (phrase, label, is_base) in automaton().iter(line):
         if label is None:
             tagged = True
@@ -135,9 +167,15 @@ def scan_text(text: str | None) -> dict:
         labels.add(label)
         if is_base:
             base.add(label)
-            places.append(line.count(" ", 0, end - len(phrase) - 1))
+            starts.append(end - len(phrase) - 1)
         else:
             notices += 1
+    # words before each hit: blanks counted from one to the next
+    places, at, n = [], 0, 0
+    for x in sorted(starts):
+        n += line.count(" ", at, x)
+        at = x
+        places.append(n)
     expressions, permissive = [], None
     if tagged:
         for m in _TAG_LINE.finditer(raw.translate(_LOWER).decode("utf-8", "surrogatepass")):
