@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from docweave.llm import common as C
 from docweave.session import read_table
 
-#: Rows ordered by one task when a shard is permuted.
-BLOCK_ROWS = 1_000_000
+#: Rows and bytes of a block, which one task orders when a shard is permuted.
+BLOCK_ROWS, BLOCK_BYTES = 1_000_000, 8 << 20
 
 
 def communication_matrix(rows: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -61,7 +61,13 @@ def _random(seed: int, *cols: Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
 
-def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _bytes(rows: DataFrame) -> Column:
+    """Bytes of a row's strings and binaries, and 8 for each other column."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() in ("string", "binary") else F.lit(8) for f in rows.schema]
+    return sum(sizes, F.lit(0).cast("long"))
+
+
+def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All ``rows`` in shards 0 .. ``shards`` - 1: a uniform random order with counts at most one apart.
 
     Returns the input columns and ``shard`` (int), ``slot`` (long, gapless from 0 in each shard). Input columns of
@@ -69,24 +75,25 @@ def shard(rows: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_
     known by its place in a table written first (also the cut of the lineage: a rerun task finds the same
     places). An empty table gives no rows.
 
-    Per partition the rows are permuted and dealt by the drawn counts; in the shard they are
-    permuted again, in blocks of a random key, so no task orders a whole shard. The driver holds
-    one count per partition and shard.
+    Per partition the rows are permuted (their places alone, which then tell each row its shard) and dealt by the drawn
+    counts; in the shard they are permuted again, in blocks of a random key of about ``block_rows`` rows or ``block_bytes``
+    bytes, so no task orders a whole shard. The driver holds one count per partition and shard.
     """
     scratch = C.Scratch(rows.sparkSession, "shards")
     cols = [c for c in rows.columns if c not in ("shard", "slot")]
     placed = scratch.save(rows.select(*cols, F.spark_partition_id().alias("_from"), F.monotonically_increasing_id().alias("_place")), "placed", "zstd")
-    counts = sorted((r["_from"], r["n"]) for r in placed.groupBy("_from").agg(F.count(F.lit(1)).alias("n")).collect())
+    found = placed.groupBy("_from").agg(F.count(F.lit(1)).alias("n"), F.sum(_bytes(placed)).alias("b")).collect()
+    counts = sorted((r["_from"], r["n"]) for r in found)
     if not counts:
         return placed.select(*cols, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
     matrix = communication_matrix(np.array([n for _, n in counts], np.int64), shards, seed)
     ends = rows.sparkSession.createDataFrame(
         [(p, [int(x) for x in np.cumsum(m)]) for (p, _), m in zip(counts, matrix)], "_from int, _ends array<bigint>")
     local = F.row_number().over(Window.partitionBy("_from").orderBy(_random(seed, F.col("_place")), "_place"))
-    dealt = placed.withColumn("_rank", local).join(ends, "_from").withColumn(
-        "shard", F.size(F.filter("_ends", lambda e: e < F.col("_rank"))).cast("int"))
-    blocks = max(1, -(-sum(n for _, n in counts) // (shards * block_rows)))
-    keyed = dealt.withColumn("_key", _random(seed + 1, F.col("_place"))).withColumn("_block", F.pmod("_key", F.lit(blocks)))
+    told = placed.select("_from", "_place").withColumn("_rank", local).join(ends, "_from").select(
+        "_place", F.size(F.filter("_ends", lambda e: e < F.col("_rank"))).cast("int").alias("shard"))
+    blocks = max(1, -(-sum(n for _, n in counts) // (shards * block_rows)), -(-sum(r["b"] for r in found) // (shards * block_bytes)))
+    keyed = placed.join(told, "_place").withColumn("_key", _random(seed + 1, F.col("_place"))).withColumn("_block", F.pmod("_key", F.lit(blocks)))
     dealt = scratch.save(keyed.select(*cols, "shard", "_block", "_key", "_place"), "dealt", "zstd")
     scratch.drop("placed")
     before = dealt.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("n")).select(
