@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,10 @@ from docweave.session import read_table, ship_package
 
 #: Characters per gram; edits per hundred characters of an item; characters of benchmark items held by a task at a time.
 Q, EDIT_PERCENT, SLICE_CHARS = 12, 6, 8_000_000
+#: Postings that a task expands at a time (a hit with more makes a chunk of its own).
+POSTINGS = 1_000_000
+#: Pairs of places in which a text and an item meet beyond which their shared grams aren't counted.
+CROWDED = 1 << 16
 _TABLE_BITS = 22
 
 
@@ -67,6 +73,8 @@ class Items:
         self.q = q
         self.points, self.off, _ = normal(*code_points(texts))
         m = np.diff(self.off)
+        #: items without a q-gram, which are looked for as they are
+        self.short = {as_text(self.points[a:b]): i for i, (a, b) in enumerate(zip(self.off[:-1], self.off[1:])) if 0 < b - a < q}
         self.m = m
         self.k = np.maximum(np.minimum(m * percent // 100, (m - q) // q), 0)
         self.need = m - q + 1 - self.k * q
@@ -77,12 +85,21 @@ class Items:
         order = np.argsort(h, kind="stable")
         self.item, self.pos = item[order].astype(np.int64), pos[order].astype(np.int64)
         self.grams, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
+        # how often each gram stands in each of its items
+        code = np.repeat(np.arange(len(self.grams)), self.count) * max(len(m), 1) + self.item
+        pair, self.times = np.unique(code, return_counts=True)
+        self.of_item = pair % max(len(m), 1)
+        self.of_first = np.searchsorted(pair, np.arange(len(self.grams) + 1) * max(len(m), 1))
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[self.grams >> C.U64(64 - _TABLE_BITS)] = True
 
     def candidates(self, points: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, first diagonal of the band) with enough shared q-grams. Bands of 2(k+1)
-        diagonals overlap by half, so the k+1 diagonals of an alignment lie in one of them."""
+        diagonals overlap by half, so the k+1 diagonals of an alignment lie in one of them.
+
+        Where a text and an item meet in more than CROWDED pairs of places (both repeat themselves), nothing is counted: all
+        their bands are candidates.
+        """
         none = np.zeros(0, np.int64)
         h = gram_hashes(points, self.q)
         at = np.flatnonzero(self.table[h >> C.U64(64 - _TABLE_BITS)])
@@ -92,12 +109,71 @@ class Items:
         text = np.searchsorted(off, at, side="right") - 1
         ok = (self.grams[g] == h[at]) & (at + self.q <= off[text + 1])
         at, g, text = at[ok], g[ok], text[ok]
-        n = self.count[g]
-        post = np.repeat(self.first[g] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item, ipos = self.item[post], self.pos[post]
-        text, diagonal = np.repeat(text, n), np.repeat(at - off[text], n) - ipos
-        step = self.k[item] + 1
-        band = diagonal // step
+        crowded = self._crowded(g, text)
+        found = []
+        for t in np.unique(crowded[0]).tolist():
+            busy = crowded[1][crowded[0] == t]
+            mine = text == t
+            kept = ~np.isin(self.item, busy)
+            found.append(self._counted(at[mine] - off[t], g[mine], text[mine], kept))
+            for i in busy.tolist():
+                k, n = int(self.k[i]), int(off[t + 1] - off[t])
+                low = np.arange(-(k + 1), max(n - int(self.m[i]), 0) + k + 2, k + 1)
+                found.append((np.full(len(low), t), np.full(len(low), i), low))
+        rest = ~np.isin(text, crowded[0])
+        found.append(self._counted(at[rest] - off[text[rest]], g[rest], text[rest], None))
+        text, item, low = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((low, item, text))
+        return text[order], item[order], low[order]
+
+    def _crowded(self, g: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item) that meet in more than CROWDED pairs of places."""
+        code, hits = np.unique(text * max(len(self.grams), 1) + g, return_counts=True)
+        t, g = code // max(len(self.grams), 1), code % max(len(self.grams), 1)
+        n = self.of_first[g + 1] - self.of_first[g]
+        some = hits * self.count[g] > CROWDED // 64  # grams that meet in few places are counted anyway
+        t, g, hits, n = t[some], g[some], hits[some], n[some]
+        at = np.repeat(self.of_first[g] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        pair = np.repeat(t, n) * len(self.m) + self.of_item[at]
+        pair, which = np.unique(pair, return_inverse=True)
+        load = np.bincount(which, np.repeat(hits, n) * self.times[at], len(pair))
+        pair = pair[load > CROWDED]
+        return pair // len(self.m), pair % len(self.m)
+
+    def _counted(self, at: np.ndarray, g: np.ndarray, text: np.ndarray, kept: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Candidates by counting, from hits at places ``at`` of their texts and the postings that are ``kept`` (all by default)."""
+        none = np.zeros(0, np.int64)
+        if kept is None:
+            item, pos, first, count = self.item, self.pos, self.first, self.count
+        else:
+            upto = np.concatenate(([0], np.cumsum(kept)))
+            item, pos, first, count = self.item[kept], self.pos[kept], upto[self.first], upto[self.first + self.count] - upto[self.first]
+        # hits in chunks of a bounded sum of postings; what bands share adds up over chunks
+        load = np.concatenate(([0], np.cumsum(count[g])))
+        keys, shared, a = [], [], 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(load, load[a] + POSTINGS, side="right")) - 1)
+            if load[b] > load[a]:
+                n = count[g[a:b]]
+                post = np.repeat(first[g[a:b]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                k, n = self._bands(np.repeat(at[a:b], n), np.repeat(text[a:b], n), item[post], pos[post])
+                keys.append(k)
+                shared.append(n)
+            a = b
+        if not keys:
+            return none, none, none
+        key, n = np.concatenate(keys, axis=1), np.concatenate(shared)
+        if len(keys) > 1:
+            order = np.lexsort(key[::-1])
+            key, n = key[:, order], n[order]
+            heads = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
+            key, n = key[:, heads], np.add.reduceat(n, heads)
+        text, item, band = key[:, n >= self.need[key[1]]]
+        return text, item, band * (self.k[item] + 1)
+
+    def _bands(self, at: np.ndarray, text: np.ndarray, item: np.ndarray, ipos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item, band) of the bands that pairs of places meet, and how many places of the item each shares."""
+        band = (at - ipos) // (self.k[item] + 1)
         text, item, ipos = (np.concatenate((x, x)) for x in (text, item, ipos))
         band = np.concatenate((band, band - 1))
         order = np.lexsort((ipos, band, item, text))
@@ -107,9 +183,20 @@ class Items:
         fresh = new.copy()
         fresh[1:] |= ipos[1:] != ipos[:-1]
         heads = np.flatnonzero(new)
-        shared = np.add.reduceat(fresh.astype(np.int64), heads) if len(heads) else none
-        good = heads[shared >= self.need[item[heads]]] if len(heads) else heads
-        return text[good], item[good], band[good] * (self.k[item[good]] + 1)
+        return np.stack((text[heads], item[heads], band[heads])), np.add.reduceat(fresh.astype(np.int64), heads)
+
+
+def as_text(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def occurrences(text: str, item: str) -> np.ndarray:
+    """Starts of an item's occurrences in a text, from the left, none overlapping the one before."""
+    found, at = [], text.find(item)
+    while at >= 0:
+        found.append(at)
+        at = text.find(item, at + len(item))
+    return np.array(found, np.int64)
 
 
 _FAR = 1 << 20
@@ -167,6 +254,22 @@ def align(items: Items, points: np.ndarray, off: np.ndarray, text: np.ndarray, i
     return edits, end - used[np.arange(len(item)), first.argmin(axis=1)], end
 
 
+def short_hits(items: Items, text: str) -> list[tuple[int, int]]:
+    """(item, start) of the occurrences of items without a q-gram; those of one item don't overlap."""
+    if not hasattr(items, "automaton"):
+        import ahocorasick
+        items.automaton = ahocorasick.Automaton()
+        for w, i in items.short.items():
+            items.automaton.add_word(w, (i, len(w)))
+        items.automaton.make_automaton()
+    out, past = [], {}
+    for end, (i, n) in items.automaton.iter(text):
+        if end + 1 - n >= past.get(i, 0):
+            out.append((i, end + 1 - n))
+            past[i] = end + 1
+    return out
+
+
 def _scan(shared, block: int):
     def run(batches):
         items, ids = shared.value
@@ -174,6 +277,27 @@ def _scan(shared, block: int):
             points, off, at = normal(*code_points(part.column(1).to_pylist()))
             text, item, low = items.candidates(points, off)
             found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+            if items.short:
+                for t in range(part.num_rows):
+                    for i, a in short_hits(items, as_text(points[off[t]:off[t + 1]])):
+                        found.setdefault((t, i), []).append((0, a, a + int(items.m[i])))
+            left = []
+            pairs = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0)))) if len(text) else []
+            for a, b in zip(pairs, [*pairs[1:], len(text)]):
+                t, i = int(text[a]), int(item[a])
+                m, k = int(items.m[i]), int(items.k[i])
+                whole = occurrences(as_text(points[off[t]:off[t + 1]]), as_text(items.points[items.off[i]:items.off[i + 1]]))
+                bands = np.arange(a, b)
+                if len(whole):
+                    found.setdefault((t, i), []).extend((0, int(x), int(x) + m) for x in whole)
+                    # all that a band may hold overlaps an occurrence that begins near it, and no alignment is better than that
+                    first, last = low[a:b] - k, low[a:b] + 3 * k + 2
+                    near = np.searchsorted(whole, last - (m - k), side="right")
+                    over = (near < len(whole)) & (whole[np.minimum(near, len(whole) - 1)] < first + (m - k))
+                    bands = bands[~over]
+                left.append(bands)
+            left = np.concatenate(left) if left else np.zeros(0, np.int64)
+            text, item, low = text[left], item[left], low[left]
             for c in range(0, len(text), 64):
                 t, i = text[c:c + 64], item[c:c + 64]
                 edits, start, end = align(items, points, off, t, i, low[c:c + 64])
@@ -186,20 +310,22 @@ def _scan(shared, block: int):
                 taken: list[tuple[int, int]] = []
                 for edits, a, b in sorted(spans):
                     # the two bands of one region, or a worse alignment of it
-                    if all(b <= x or a >= y for x, y in taken):
-                        taken.append((a, b))
+                    n = bisect.bisect(taken, (a, b))
+                    if (n == 0 or taken[n - 1][1] <= a) and (n == len(taken) or b <= taken[n][0]):
+                        taken.insert(n, (a, b))
                         rows.append((t, i, int(at[off[t] + a] - base[t]), int(at[off[t] + b - 1] + 1 - base[t]), edits, int(items.m[i])))
+            rows = [(t, x, *rest) for t, i, *rest in rows for x in ids[i]]
             if rows:
                 t, i, *rest = (np.array(c) for c in zip(*rows))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(t)), pa.array([ids[x] for x in i.tolist()], pa.int64()), *(pa.array(c, pa.int64()) for c in rest)],
+                    [part.column(0).take(pa.array(t)), pa.array(i, pa.int64()), *(pa.array(c, pa.int64()) for c in rest)],
                     ["doc_id", "item_id", "start", "end", "edits", "item_chars"])
     return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", q: int = Q,
-                  edit_percent: int = EDIT_PERCENT, slice_chars: int = SLICE_CHARS) -> DataFrame:
+                  edit_percent: int = EDIT_PERCENT, slice_chars: int = SLICE_CHARS, short_items: bool = False) -> DataFrame:
     """Regions of documents that hold a benchmark item within its edit budget.
 
     Texts are compared with A-Z in lower case and white space runs as one blank; an edit
@@ -210,26 +336,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     The documents are scanned once per slice of the benchmark: slices are
     dealt by hash so that each holds about ``slice_chars`` characters, whose arrays go to
-    the tasks; a benchmark below that size is one slice. Nothing is shuffled.
-    Null, empty or shorter texts and items under ``q`` characters give no rows, nor do empty tables. A null id stays
-    null; repeated rows (texts or items) each give their rows. Other columns are ignored.
+    the tasks; a benchmark below that size is one slice. With more slices, each one's rows are written before the next
+    slice is gathered, so one slice at a time is held. Nothing is shuffled. Items under ``q`` characters
+    (as compared) are left out, or with ``short_items`` found as they stand, without edits: such an item may be an everyday word. Null and empty texts and items give no rows, nor do empty tables. A null id stays
+    null; repeated rows (texts or items) each give their rows. Other columns are ignored. Memory doesn't grow with how
+    repetitive a text is; where an item stands as it is, alignments that would overlap it are not computed.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") >= q)
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
     kind = base.schema["id"].dataType.simpleString()
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).filter(F.length("text") >= q)
+    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).filter(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = int(total // slice_chars) + 1
-    out = None
+    out = scratch = None
     for s in range(slices):
         # at most about slice_chars characters
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == s).orderBy("id", "text").collect()
-        held = Items([r.text for r in rows], q, edit_percent)
-        # short items after normalisation have no q-gram
-        shared = spark.sparkContext.broadcast((held, [r.id for r in rows]))
+        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(slices)) == s).orderBy("id", "text").collect()
+        ids: dict[str, list[int]] = {}
+        for r in rows:
+            ids.setdefault(r.text, []).append(r.id)
+        held = Items(list(ids), q, edit_percent)
+        if not short_items:
+            held.short = {}
+        shared = spark.sparkContext.broadcast((held, list(ids.values())))
         found = base.mapInArrow(_scan(shared, C.BLOCK_BYTES),
                                 f"doc_id {kind}, item_id long, start long, end long, edits long, item_chars long")
+        if slices > 1:
+            scratch = scratch or C.Scratch(spark, "contamination")
+            found = scratch.save(found, f"slice-{s}")
+            shared.unpersist()
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -246,4 +382,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), short_items=True)

@@ -277,6 +277,8 @@ def test_decontamination_awkward(spark, awkward, clashing, empty, nameless):
     for df in (awkward, clashing):
         assert {r.doc_id for r in contamination(df, bench).collect()} == hit
         assert drop_contaminated(df, bench).columns == df.columns
+        # an item without a q-gram, as it stands
+        assert {r.doc_id for r in contamination(df, bench, short_items=True).collect()} == hit | {17}
     assert contamination(empty, bench).count() == 0 and contamination(awkward, bench.limit(0)).count() == 0
     assert drop_contaminated(nameless, bench).collect() == [(None, None, None, None, None)]
 
@@ -360,3 +362,76 @@ def test_chat_prefixes(spark):
     rows = sorted(chat_examples(df).collect(), key=lambda r: len(r.formatted))
     assert [r.target for r in rows] == [1, 3, None]
     assert rows[0].formatted == "[ROLE]user[INST]t0[/INST]<s>t1</s>" and all(b.formatted.startswith(a.formatted) for a, b in zip(rows, rows[1:]))
+
+
+# long and repetitive texts ------------------------------------------------
+
+def plain_leading(line):
+    """The longest prefix of a line's tokens that is an expression, by trying every one."""
+    tokens = licenses._TOKEN.findall(line)
+    for n in range(len(tokens), 0, -1):
+        steps = licenses.postfix(" ".join(tokens[:n]))
+        if steps is not None and licenses.evaluate(steps) is not None:
+            return " ".join(tokens[:n])
+    return None
+
+
+def test_leading_expressions_by_trying_all():
+    rng = random.Random(3)
+    parts = ["mit", "apache-2.0", "gpl", "or", "and", "with", "(", ")", "classpath", "or", "and"]
+    for _ in range(4000):
+        line = " ".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert licenses.leading_expression(line) == plain_leading(line), line
+
+
+def test_licences_of_long_lines():
+    import time
+    began = time.time()
+    words = " ".join(f"word{i}" for i in range(130_000))
+    r = licenses.scan_text("SPDX-License-Identifier: MIT " + words)
+    assert len(words) > 10**6 and r["expressions"] == ["mit"] and r["labels"] == "mit"
+    r = licenses.scan_text("license expression: " + " or ".join(f"l{i}" for i in range(90_000)))
+    assert len(r["expressions"]) == 1 and r["labels"].count(",") == 89_999
+    assert licenses.scan_text("license expression: " + "(" * 500_000)["expressions"] == []
+    r = licenses.scan_text("mit license " * 90_000)
+    assert (r["n_base"], r["first_word"], r["last_word"], r["n_words"]) == (90_000, 0, 179_998, 180_000)
+    assert time.time() - began < 60
+
+
+def test_decontamination_of_repetitive_texts():
+    import time
+
+    import pyarrow as pa
+
+    from docweave.llm import decontaminate
+
+    class Shared:
+        value = (decontaminate.Items(["a" * (100 + i) for i in range(200)] + ["short one", "ab"], 12, 6), [[i] for i in range(202)])
+    texts = ["a" * 100_000, "b" * 50_000 + "a" * 130, "a short  ONE, abab", "a" * 99]
+    began = time.time()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(texts)], ["id", "text"])
+    rows = [r for b in decontaminate._scan(Shared, 1 << 20)(iter([batch])) for r in b.to_pylist()]
+    assert time.time() - began < 100
+    first = [r for r in rows if r["doc_id"] == 1 and r["item_id"] == 0]
+    assert [r["start"] for r in sorted(first, key=lambda r: r["start"])] == list(range(0, 100_000, 100)) and all(r["edits"] == 0 for r in first)
+    assert {r["item_id"] for r in rows if r["doc_id"] == 2} >= set(range(31))
+    assert sorted((r["item_id"], r["start"], r["end"]) for r in rows if r["doc_id"] == 3) == [(200, 2, 12), (201, 14, 16), (201, 16, 18)]
+    # one letter less than the shortest item is an edit
+    assert sorted((r["item_id"], r["edits"]) for r in rows if r["doc_id"] == 4)[0] == (0, 1)
+
+
+def test_candidates_in_chunks_are_the_same(monkeypatch, corpus):
+    from docweave.llm import decontaminate
+    texts = [r.text for r in list(corpus[1].values())[:40]]
+    items = decontaminate.Items([t[20:200] for t in texts[:15] if t and len(t) > 200], 12, 6)
+    points, off, _ = decontaminate.normal(*decontaminate.code_points(texts))
+    want = items.candidates(points, off)
+    monkeypatch.setattr(decontaminate, "POSTINGS", 50)
+    got = items.candidates(points, off)
+    rows = [set(zip(*(x.tolist() for x in c))) for c in (want, got)]
+    assert rows[0] <= rows[1] and len(rows[0]) >= 10
+    # all bands of crowded pairs
+    monkeypatch.setattr(decontaminate, "CROWDED", 30)
+    more = set(zip(*(x.tolist() for x in items.candidates(points, off))))
+    bands = {(t, i, d) for t, i, low in more for d in range(low, low + 2 * (int(items.k[i]) + 1))}
+    assert len(more) > len(rows[0]) and all((t, i, d) in bands for t, i, low in rows[0] for d in range(max(low, 0), low + int(items.k[i]) + 1))
