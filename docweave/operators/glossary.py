@@ -21,13 +21,13 @@ GLOSSARY_HEADING = "\nГлоссарий терминов (русский -> ц
 EARLIER_TERMS_HEADING = "\nПредыдущие переводы терминов в этом документе:\n"
 
 
-def _pair_line(term: Column, translation: Column) -> Column:
-    return F.concat(F.lit("'"), term, F.lit("' -> '"), translation, F.lit("'\n"))
+def _pair_line(term: Column, rendering: Column) -> Column:
+    return F.concat(F.lit("'"), term, F.lit("' -> '"), rendering, F.lit("'\n"))
 
 
 def hits(text: Column | str, lang: Column | str, glossary: Glossary) -> Column:
     """Glossary rows of ``lang`` whose term occurs in ``text`` (case-sensitive),
-    in glossary order: ``array<struct<term,lang,translation,ord>>``."""
+    in glossary order: ``array<struct<term,lang,rendering,ord>>``."""
     t = F.col(text) if isinstance(text, str) else text
     lg = F.col(lang) if isinstance(lang, str) else lang
     return F.array_sort(
@@ -45,13 +45,13 @@ def term_hits_any_lang(text: Column | str, glossary: Glossary) -> Column:
 
 
 def glossary_blocks(spark: SparkSession, glossary: Glossary) -> DataFrame:
-    """AGG-7: ``(lang, glossary_block)`` — heading plus ``'term' -> 'translation'``
+    """AGG-7: ``(lang, glossary_block)`` — heading plus ``'term' -> 'rendering'``
     lines in glossary order. A language without entries gets the bare heading
     (joined with ``coalesce`` by the callers)."""
     g = glossary.df(spark)
     return (g.groupBy("lang")
             .agg(F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.struct("ord", _pair_line(F.col("term"), F.col("translation")).alias("l")))),
+                F.array_sort(F.collect_list(F.struct("ord", _pair_line(F.col("term"), F.col("rendering")).alias("l")))),
                 lambda s: s["l"]), "").alias("_lines"))
             .select("lang", F.concat(F.lit(GLOSSARY_HEADING), F.col("_lines")).alias("glossary_block")))
 
@@ -91,7 +91,7 @@ def earlier_terms_split(short: DataFrame, packed: DataFrame, keys: list[str], gl
 
 
 def earlier_block(earlier: Column | str, lang: Column | str, glossary: Glossary) -> Column:
-    """Prompt block for the earlier terms that have a translation in ``lang``."""
+    """Prompt block for the earlier terms that have a rendering in ``lang``."""
     e = F.col(earlier) if isinstance(earlier, str) else earlier
     lg = F.col(lang) if isinstance(lang, str) else lang
     g = glossary.array()
@@ -100,14 +100,14 @@ def earlier_block(earlier: Column | str, lang: Column | str, glossary: Glossary)
     flat = F.flatten(lines)
     return F.when(F.size(flat) > 0, F.concat(
         F.lit(EARLIER_TERMS_HEADING),
-        F.array_join(F.transform(flat, lambda x: _pair_line(x["term"], x["translation"])), "")
+        F.array_join(F.transform(flat, lambda x: _pair_line(x["term"], x["rendering"])), "")
     )).otherwise(F.lit(""))
 
 
 def false_positive_match(original: Column, translated: Column, reason: Column, lang: Column,
                          glossary: Glossary, markers: tuple[str, ...]) -> Column:
     """FLT-4 (a): some term (lower-cased) is in ``lower(original)``, its ``lang``
-    translation (lower-cased) is in ``lower(translated)``, and ``lower(reason)``
+    rendering (lower-cased) is in ``lower(translated)``, and ``lower(reason)``
     names one of ``markers``."""
     lo, lt, lr = F.lower(original), F.lower(translated), F.lower(reason)
     marker = F.lit(False)
@@ -116,4 +116,4 @@ def false_positive_match(original: Column, translated: Column, reason: Column, l
     return marker & F.exists(
         glossary.array(),
         lambda g: (g["lang"] == lang) & lo.contains(F.lower(g["term"]))
-        & lt.contains(F.lower(g["translation"])))
+        & lt.contains(F.lower(g["rendering"])))

@@ -117,12 +117,12 @@ def structure_parity(pairs: DataFrame, original: str = "original", translated: s
 
 def glossary_violations(pairs: DataFrame, glossary: Glossary, lang: str = "lang") -> DataFrame:
     """QA-2: glossary terms present in the original (case-insensitive) whose
-    translation for the language is missing from the translated text."""
+    rendering for the language is missing from the translated text."""
     lo, lt = F.lower(F.col("original")), F.lower(F.col("translated"))
     bad = F.array_sort(F.filter(
         glossary.array(),
         lambda g: (g["lang"] == F.col(lang)) & lo.contains(F.lower(g["term"]))
-        & ~lt.contains(F.lower(g["translation"]))),
+        & ~lt.contains(F.lower(g["rendering"]))),
         lambda a, b: F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1).otherwise(0))
     return pairs.select(*[c for c in pairs.columns if c not in ("original", "translated")],
                         F.size(bad).cast("bigint").alias("n_violations"),

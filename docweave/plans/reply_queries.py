@@ -3,6 +3,8 @@ token and run accounting, validation parsing, reports and pair checks."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from docweave.functions import text as T
@@ -20,7 +22,8 @@ from docweave.plans.registry import register
 from docweave.plans.request_queries import FM_REPLY_SPARK, FM_REPLY_SQL, clean_field_sql, fm_fields_sql, yaml_scalar_sql
 from docweave.plans.text_queries import BUDGET, TARGETS, prepared, split
 from docweave.sources import testdata as D
-from docweave.session import materialize
+from docweave.session import checkpoint_dir, materialize
+from docweave.sinks.files import write_documents
 from docweave.sinks.report import report_pieces
 from docweave.sources.config import TEST_GLOSSARY
 
@@ -226,6 +229,19 @@ def q_run_summary(spark, sf_dir):
                  F.sum(F.coalesce("any_fb", F.lit(0))).cast("bigint").alias("n_with_fallback")))
 
 
+@register("run_counters", "AGG-1,AGG-2,AGG-3", sql=f"""{_REQ_SQL},
+docs AS (SELECT lang, rel_path, count(*) AS n_parts, sum(CASE WHEN status = 'fallback_source' THEN 1 ELSE 0 END) AS n_fallback, sum(tokens) AS tokens
+         FROM joined GROUP BY lang, rel_path)
+SELECT lang, count(*) AS n_documents, CAST(sum(CASE WHEN n_fallback > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_with_fallback, CAST(sum(n_parts) AS BIGINT) AS n_parts,
+       CAST(sum(n_fallback) AS BIGINT) AS n_fallback, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM docs GROUP BY lang
+""")
+def q_run_counters(spark, sf_dir):
+    """The run's counters, observed while its documents are written."""
+    docs = RS.assemble_documents(joined_replies(spark, sf_dir), doc_frontmatter(spark, sf_dir))
+    return write_documents(docs, f"{checkpoint_dir(spark).rstrip('/')}/documents/{uuid.uuid4().hex}", TARGETS)
+
+
 @register("failed_files", "AGG-3", sql=f"""WITH {ROUTED_CTE},
 att AS (SELECT l.lang, r.rel_path, r.action_incremental, count(*) OVER (PARTITION BY l.lang) AS attempts
         FROM routed r CROSS JOIN (SELECT unnest({_TLIST}) AS lang) l)
@@ -269,7 +285,7 @@ parsed AS (SELECT el3.rel_path, el3.lang, el3.file_path, el3.pos,
 {S.glossary_cte()},
 flt AS (SELECT p.*,
           EXISTS (SELECT 1 FROM g WHERE g.lang = p.lang AND contains(lower(p.original), lower(g.term))
-                   AND contains(lower(p.translated), lower(g.translation)))
+                   AND contains(lower(p.translated), lower(g.rendering)))
           AND (contains(lower(p.reason), 'глоссари') OR contains(lower(p.reason), 'словар') OR contains(lower(p.reason), 'термин'))
             AS glossary_fp,
           p.original = '' OR p.translated = '' OR p.reason = '' OR length(p.original) < 3 OR length(p.translated) < 3
@@ -426,7 +442,7 @@ def q_report_order(spark, sf_dir):
 @register("glossary_violations", "QA-2", sql=f"""WITH {S.glossary_cte()},
 p AS (SELECT t.rel_path, t.lang, o.original, t.translated FROM ({D.OUTPUTS_SQL}) t JOIN ({D.ORIGINALS_SQL}) o ON o.rel_path = t.rel_path)
 SELECT p.rel_path, p.lang, count(g.term) AS n_violations, coalesce(string_agg(g.term, ',' ORDER BY g.ord), '') AS terms
-FROM p LEFT JOIN g ON g.lang = p.lang AND contains(lower(p.original), lower(g.term)) AND NOT contains(lower(p.translated), lower(g.translation))
+FROM p LEFT JOIN g ON g.lang = p.lang AND contains(lower(p.original), lower(g.term)) AND NOT contains(lower(p.translated), lower(g.rendering))
 GROUP BY p.rel_path, p.lang
 """)
 def q_glossary_violations(spark, sf_dir):

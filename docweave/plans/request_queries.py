@@ -1,5 +1,5 @@
 """Queries on the request side: glossary hits, earlier terms, memory prompts,
-translation / frontmatter / validation requests, output paths, pairs."""
+rendering / frontmatter / validation requests, output paths, pairs."""
 
 from __future__ import annotations
 
@@ -115,7 +115,7 @@ def q_improvements_prompt(spark, sf_dir):
 
 
 # --- REQ-1 / SNK-5 / AGG-7 / PRJ-10 / SRC-4 / JOIN-4 -------------------------
-def _req_sql_select() -> str:
+def req_sql_select() -> str:
     from docweave.operators.glossary import EARLIER_TERMS_HEADING, GLOSSARY_HEADING
     system = (f"l.system_prompt || coalesce(gb.glossary_block, {S.q(GLOSSARY_HEADING)}) || "
               f"CASE WHEN eb.earlier_lines IS NOT NULL THEN {S.q(EARLIER_TERMS_HEADING)} || eb.earlier_lines ELSE '' END"
@@ -133,7 +133,7 @@ FROM (
 
 @register("body_requests", "REQ-1,SNK-5,AGG-7,PRJ-10,SRC-4,JOIN-4", sql=f"""{_PARTS_WITH},
 {S.gblock_cte()}, {S.memory_cte(D.ISSUES_SQL)}, {S.earlier_cte()}
-{_req_sql_select()}
+{req_sql_select()}
 """)
 def q_body_requests(spark, sf_dir):
     parts = with_earlier(spark, sf_dir)
@@ -145,7 +145,7 @@ def q_body_requests(spark, sf_dir):
 # --- EXT-1 ------------------------------------------------------------------
 @register("request_dedup", "EXT-1", sql=f"""{_PARTS_WITH},
 {S.gblock_cte()}, {S.memory_cte(D.ISSUES_SQL)}, {S.earlier_cte()},
-reqs AS ({_req_sql_select()})
+reqs AS ({req_sql_select()})
 SELECT lang, count(*) AS n_requests, count(DISTINCT cache_key) AS n_unique,
        count(*) - count(DISTINCT cache_key) AS n_saved
 FROM reqs GROUP BY lang
@@ -264,10 +264,10 @@ def q_frontmatter_requests(spark, sf_dir):
 # --- PRJ-6 / PRJ-7 ----------------------------------------------------------
 # Simulated model replies for each translatable field, by doc_id % 5:
 # prefixed, fenced, quoted, two-line, plain.
-FM_REPLY_SPARK = ("CASE doc_id % 5 WHEN 0 THEN concat('TRANSLATION: ', value) "
+FM_REPLY_SPARK = ("CASE doc_id % 5 WHEN 0 THEN concat('TRANSLATED TEXT: ', value) "
                    "WHEN 1 THEN concat('```yaml\\n', value, '\\n```') WHEN 2 THEN concat('\"', value, '\"') "
                    "WHEN 3 THEN concat(value, '\\nsecond line') ELSE value END")
-FM_REPLY_SQL = ("CASE doc_id % 5 WHEN 0 THEN 'TRANSLATION: ' || value "
+FM_REPLY_SQL = ("CASE doc_id % 5 WHEN 0 THEN 'TRANSLATED TEXT: ' || value "
                  "WHEN 1 THEN '```yaml' || chr(10) || value || chr(10) || '```' WHEN 2 THEN '\"' || value || '\"' "
                  "WHEN 3 THEN value || chr(10) || 'second line' ELSE value END")
 

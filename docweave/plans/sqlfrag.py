@@ -148,13 +148,13 @@ def langs_cte(targets, languages=None) -> str:
     return f"langs AS ({(languages or TEST_LANGUAGES).values_sql(targets)})"
 
 
-def pair_line(term: str, translation: str) -> str:
-    return f"'''' || {term} || ''' -> ''' || {translation} || '''' || chr(10)"
+def pair_line(term: str, rendering: str) -> str:
+    return f"'''' || {term} || ''' -> ''' || {rendering} || '''' || chr(10)"
 
 
 def gblock_cte() -> str:
     from docweave.operators.glossary import GLOSSARY_HEADING
-    return (f"gb AS (SELECT lang, {q(GLOSSARY_HEADING)} || string_agg({pair_line('term', 'translation')}, '' "
+    return (f"gb AS (SELECT lang, {q(GLOSSARY_HEADING)} || string_agg({pair_line('term', 'rendering')}, '' "
             f"ORDER BY ord) AS glossary_block FROM g GROUP BY lang)")
 
 
@@ -174,14 +174,14 @@ ib AS (SELECT lang, {q(IMPROVEMENTS_HEADING)} || coalesce(string_agg(CASE WHEN c
 
 
 def earlier_cte(parts: str = "parts") -> str:
-    """firsts(doc_id, term, ord, first_part) and fl (with lang, translation)."""
+    """firsts(doc_id, term, ord, first_part) and fl (with lang, rendering)."""
     return f"""gt AS (SELECT term, min(ord) AS ord FROM g GROUP BY term),
 th AS (SELECT p.doc_id, p.part_no, gt.term, gt.ord FROM {parts} p JOIN gt ON contains(p.text, gt.term)),
 firsts AS (SELECT doc_id, term, ord, min(part_no) AS first_part FROM th GROUP BY doc_id, term, ord),
-fl AS (SELECT f.doc_id, f.term, f.ord, f.first_part, g.lang, g.translation FROM firsts f JOIN g ON g.term = f.term),
+fl AS (SELECT f.doc_id, f.term, f.ord, f.first_part, g.lang, g.rendering FROM firsts f JOIN g ON g.term = f.term),
 eb AS (SELECT p.doc_id, p.part_no, l.lang,
               string_agg(fl.term, ',' ORDER BY fl.first_part, fl.ord) AS earlier_terms,
-              string_agg({pair_line('fl.term', 'fl.translation')}, '' ORDER BY fl.first_part, fl.ord) AS earlier_lines
+              string_agg({pair_line('fl.term', 'fl.rendering')}, '' ORDER BY fl.first_part, fl.ord) AS earlier_lines
        FROM {parts} p CROSS JOIN langs l
        LEFT JOIN fl ON fl.doc_id = p.doc_id AND fl.first_part < p.part_no AND fl.lang = l.lang
        GROUP BY p.doc_id, p.part_no, l.lang)"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.functions import text as T
+from docweave.operators import long_split as LS
 from docweave.operators import markdown as M
 from docweave.operators.documents import prepare
 from docweave.operators.fanout import fan_out_languages
@@ -167,6 +168,18 @@ def q_doc_parts(spark, sf_dir):
     return parts(spark, sf_dir)
 
 
+# --- STR-8 for documents that aren't one row ---------------------------------
+@register("doc_parts_long", "STR-8", sql=f"""
+WITH RECURSIVE {S.prepared_cte()}, {S.parts_cte()}
+SELECT doc_id, part_no, text, n_chars, est_tokens FROM parts
+""")
+def q_doc_parts_long(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    short = p.where(F.length("body") <= 4 * BUDGET).select("doc_id", F.lit(1).cast("bigint").alias("part_no"), F.col("body").alias("text"))
+    lines = M.explode_lines(p.where(F.length("body") > 4 * BUDGET), "doc_id", "body")
+    return M.with_sizes(short.unionByName(LS.split_lines(lines, "doc_id", BUDGET)))
+
+
 # --- STR-9 ----------------------------------------------------------------
 @register("part_sizes", "STR-9", sql=f"""
 WITH RECURSIVE {S.prepared_cte()}, {S.parts_cte()}

@@ -75,8 +75,8 @@ def corpus_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reason templates by (doc_id + line) % 4 (one Russian glossary reason,
 # two near-identical English ones, one blank).
 REASONS = ("термин переведён не по глоссарию",
-           "the meaning of the sentence is lost in translation",
-           "meaning of the sentence is lost in the translation",
+           "the meaning of the sentence is lost in rendering",
+           "meaning of the sentence is lost in the rendering",
            "")
 
 TARGET_BY_MOD3 = ("en", "es", "zh")
@@ -119,7 +119,7 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Original / translated pairs from conversations: a user turn is the original
 # file ``conv/<conv_id>/<turn>.md``; the assistant turn right after it is its
-# translation (language by conv_id % 3).
+# rendering (language by conv_id % 3).
 def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "conversations")
     return c.where(F.col("role") == "user").select(
@@ -146,10 +146,10 @@ OUTPUTS_SQL = ("SELECT printf('conv/%d/%d.md', conv_id, turn - 1) AS rel_path, "
 # Simulated model replies for body parts (by doc_id % 4: prefixed, fenced,
 # trailing fence, plain); no reply for doc_id % 11 = 0, an error reply for
 # doc_id % 13 = 0.
-REPLY_SPARK = ("CASE doc_id % 4 WHEN 0 THEN concat('Translation: ', text) "
+REPLY_SPARK = ("CASE doc_id % 4 WHEN 0 THEN concat('Translated text: ', text) "
                "WHEN 1 THEN concat('```markdown\\n', text, '\\n```') "
                "WHEN 2 THEN concat(text, '\\n```\\n') ELSE text END")
-REPLY_SQL = ("CASE doc_id % 4 WHEN 0 THEN 'Translation: ' || text "
+REPLY_SQL = ("CASE doc_id % 4 WHEN 0 THEN 'Translated text: ' || text "
              "WHEN 1 THEN '```markdown' || chr(10) || text || chr(10) || '```' "
              "WHEN 2 THEN text || chr(10) || '```' || chr(10) ELSE text END")
 

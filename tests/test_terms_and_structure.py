@@ -41,7 +41,7 @@ def test_terms_of_nothing(spark):
 
 def test_a_large_glossary_plans_at_once(spark):
     glossary = spark.range(100_000).select(F.concat(F.lit("term"), "id").alias("term"), F.explode(F.array(F.lit("en"), F.lit("es"))).alias("lang"),
-                                           F.concat(F.lit("x"), "id").alias("translation"), F.col("id").cast("int").alias("ord"))
+                                           F.concat(F.lit("x"), "id").alias("rendering"), F.col("id").cast("int").alias("ord"))
     parts = spark.createDataFrame([(1, "see term99999 and term12 here"), (2, "nothing")], "doc int, text string")
     got = sorted((r.doc, r.term, r.lang) for r in TM.glossary_hits(parts, ["doc"], glossary).collect())
     terms = ["term1", "term12", "term9", "term99", "term999", "term9999", "term99999"]
