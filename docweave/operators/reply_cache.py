@@ -77,8 +77,7 @@ class ReplyCache:
         asked = materialize(requests.select(*cols), "cache-asked")
         found = materialize(self.look_up(asked.select("request_id", "lang", "cache_key")), "cache-found")
         hit = F.col("run").isNotNull()
-        open_ = asked.join(found.where(~hit).select("request_id"), "request_id", "left_semi")
-        fresh = run_requests(open_, fn)
+        fresh = run_requests(asked, fn, only=found.where(~hit), stored=True)
         named = found.where(~hit).select("request_id", "lang", "cache_key").join(fresh, "request_id")
         named = materialize(named, "cache-fresh")
         good = F.col("error").isNull() & F.col("content").isNotNull()
