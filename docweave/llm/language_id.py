@@ -14,7 +14,7 @@ from docweave.llm import common as C
 from docweave.llm.decontaminate import code_points
 from docweave.session import read_table, ship_package
 
-#: Longest n-gram, length of a profile, documents per language that profiles are learned from (about; a hash
+#: Longest n-gram, length of a profile, documents per language of a sample() (about; a hash
 #: threshold), languages that profiles may have (beyond it fit() fails: profiles go to every task).
 GRAMS, PROFILE, TRAIN_DOCS, MAX_LANGS = 3, 300, 4000, 2000
 #: A language's score bound: SLACK times the score that all but REJECT of its learned texts reach.
@@ -147,20 +147,17 @@ def sample(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     return rows.filter(share).select("id", "text", "lang")
 
 
-def fit(labelled: DataFrame, grams: int = GRAMS, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> list[tuple[str, list[int]]]:
-    """Profiles ``[(lang, grams by rank)]``, by language, from a ``sample`` of ``text, lang`` and an ``id`` that spreads it."""
-    return fit_sample(sample(labelled, train_docs), grams, profile)
-
-
-def fit_sample(sampled: DataFrame, grams: int = GRAMS, profile: int = PROFILE) -> list[tuple[str, list[int]]]:
-    """Profiles learned from all of ``sampled`` (whole texts).
+def fit(labelled: DataFrame, grams: int = GRAMS, profile: int = PROFILE) -> list[tuple[str, list[int]]]:
+    """Profiles ``[(lang, grams by rank)]``, by language, from all rows ``text, lang`` (whole texts); null texts and langs are left out.
 
     Counts are aggregated before they move, and the ranking is cut per (language, salt) first, so a hot language does
     not meet in one task.
     """
-    ship_package(sampled.sparkSession)
-    sampled = sampled.select("text", "lang")
-    counts = sampled.mapInArrow(_count(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ship_package(labelled.sparkSession)
+    rows = labelled.filter("text is not null and lang is not null").select("text", "lang")
+    if rows.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    counts = rows.mapInArrow(_count(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = [F.col("n").desc(), "gram"]
     first = counts.withColumn("salt", F.pmod("gram", F.lit(32))).withColumn(
         "r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best))).filter(F.col("r") <= profile)
@@ -225,7 +222,7 @@ def learn(docs: DataFrame) -> list[tuple[str, list[int]]]:
     return fit(_labelled(docs))
 
 
-def learn_bounds(sampled: DataFrame, profiles: list[tuple[str, list[int]]]) -> dict[str, float]:
+def learn_bounds(labelled: DataFrame, profiles: list[tuple[str, list[int]]]) -> dict[str, float]:
     """The least score of a text in each language, from the texts that profiles were learned from.
 
     SLACK times the score that all but REJECT of the language's learned texts reach (as many as are identified as it), so at most
@@ -233,19 +230,16 @@ def learn_bounds(sampled: DataFrame, profiles: list[tuple[str, list[int]]]) -> d
     """
     if not profiles:
         return {}
-    scored = identify(sampled, profiles, "id").filter("lang_pred <> 'und'")
+    scored = identify(labelled.filter("text is not null and lang is not null"), profiles, "id").filter("lang_pred <> 'und'")
     reach = scored.groupBy("lang_pred").agg(F.percentile_approx("score", REJECT, 100_000).alias("reach"))
     return {r.lang_pred: SLACK * r.reach for r in reach.collect()}
 
 
 def learn_with_bounds(docs: DataFrame) -> tuple[list[tuple[str, list[int]]], dict[str, float]]:
-    """Profiles and score bounds of the languages of ``docs``; the sample is written once for both."""
-    scratch = C.Scratch(docs.sparkSession, "languages")
-    sampled = scratch.save(sample(_labelled(docs)), "sample")
-    profiles = fit_sample(sampled)
-    bounds = learn_bounds(sampled, profiles)
-    scratch.drop("sample")
-    return profiles, bounds
+    """Profiles and score bounds of the languages of ``docs``, both from every labelled text that isn't held out."""
+    labelled = _labelled(docs)
+    profiles = fit(labelled)
+    return profiles, learn_bounds(labelled, profiles)
 
 
 def _keep(profiles: list[tuple[str, list[int]]], bounds: dict[str, float], at: int):

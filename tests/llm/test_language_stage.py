@@ -36,3 +36,17 @@ def test_long_texts_are_counted_in_runs(monkeypatch):
         for d, g, c in zip(doc.tolist(), gram.tolist(), count.tolist()):
             got[d][g] = c
         assert got == want
+
+
+def test_profiles_and_bounds_come_from_every_labelled_text(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAIN_DOCS", 1)
+    docs = spark.createDataFrame([(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} ", "xx", "s", 7) for i in range(400)], DOCS)
+    learned, _ = language_id.learn_with_bounds(docs)
+    assert len(learned[0][1]) == language_id.PROFILE
+    texts = [r.text for r in docs.filter(~language_id.held_out(F.col("doc_id"))).collect()]
+    count = {}
+    for t in texts:
+        _, gram, n, _ = language_id.ranked_grams([t], language_id.GRAMS, None)
+        for g, c in zip(gram.tolist(), n.tolist()):
+            count[g] = count.get(g, 0) + c
+    assert learned[0][1] == [g for g, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))][:language_id.PROFILE]
