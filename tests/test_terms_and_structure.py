@@ -196,3 +196,18 @@ def test_report_documents(spark, tmp_path):
     assert "журнал" in (tmp_path / "validation_report_en.json").read_text(encoding="utf-8")
     assert sorted(p.name for p in tmp_path.iterdir()) == [f"validation_report_{x}.json" for x in ("en", "es", "zh")]
     assert report_pieces(files.limit(0), kept.limit(0)).count() == 0
+
+
+def test_grams_of_a_text_have_only_lengths_of_terms(spark, monkeypatch):
+    from docweave.operators import term_match
+    asked, listed = [], term_match._text_grams
+
+    def seen(n_keys, names, sizes):
+        asked.append(sizes)
+        return listed(n_keys, names, sizes)
+    monkeypatch.setattr(term_match, "_text_grams", seen)
+    rows = spark.createDataFrame([(1, "the internationalisation of ab"), (2, None), (3, "")], "id long, text string")
+    terms = spark.createDataFrame([("internationalisation",), ("nationalistic",), ("ab",)], "term string")
+    got = {r.id: r.found for r in term_match.match_terms(rows, ["id"], terms, automaton_chars=0).collect()}
+    assert got == {1: ["ab", "internationalisation"], 2: [], 3: []}
+    assert asked == [[2, term_match.GRAM]]
