@@ -35,7 +35,7 @@ def _members(width: int):
     @C.bounded
     def run(batches):
         for part, buf, off in C.text_blocks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column(0), M.member_column(*text_sets(buf, off, width))], ["id", "members"])
+            yield M.member_batch(*text_sets(buf, off, width), [[x] for x in part.select(["c", "k1", "k2"]).to_pylist()])
     return run
 
 
@@ -60,9 +60,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = scratch.save(base.mapInArrow(_sign(width, bands, rows), f"id {kind}, {M.SIGNED}"), "signed")
 
     def set_of(ids: DataFrame) -> DataFrame:
-        return M.among(base, ids).mapInArrow(_members(width), f"id {kind}, members binary")
+        found = M.among(base, ids.select("id").distinct()).join(ids, "id")
+        return found.select("text", "c", "k1", "k2").mapInArrow(_members(width), M.MEMBERS)
 
-    roots = M.near_classes(signed.filter("id is not null"), set_of, scratch, percent)
+    roots = M.near_classes(signed.filter("id is not null"), set_of, scratch, percent, bands, rows)
     return signed.select("id", "n_shingles").join(roots, "id", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("root", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("root", "id")).alias("kept"))
