@@ -124,6 +124,21 @@ def test_quality_awkward(spark, awkward, clashing, empty, nameless):
     assert len(rows) == 4 and sorted(r.kept for r in rows) == [False, True, True, True]
 
 
+def test_trees_learn_from_every_label(spark):
+    rng = np.random.default_rng(5)
+    n = 24_000
+    x = np.round(rng.normal(size=(n, len(quality.FEATURES))), 3)
+    x[:, 3] = -0.0
+    y = (x[:, 0] + 0.5 * rng.normal(size=n) > 0).astype(int)
+    measured = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "id long, x array<double>").repartition(7)
+    labels = spark.createDataFrame([(i, v) for i, v in enumerate(y.tolist())] + [(None, 1), (3, None), (n + 1, 0)], "doc_id long, quality int")
+    got = quality.learn(measured, labels)
+    want = quality.fit(x, y.astype(float), list(quality.FEATURES.values()))
+    assert len(got.roots) == quality.TREES
+    assert np.abs(got.score(x) - want.score(x)).max() < 1e-9
+    assert abs(got.cut - min(0.5, np.quantile(want.score(x[y == 1]), 0.01))) < 1e-9
+
+
 def test_trees_are_monotone_and_learn():
     rng = np.random.default_rng(4)
     x = rng.random((3000, 3))
